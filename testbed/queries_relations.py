@@ -63,16 +63,16 @@ def dq_unique(w: Warehouse) -> DataFrame:
 
 def dq_not_null(w: Warehouse) -> DataFrame:
     counts = [
-        _named(quality.not_null(w.any(t), c).agg(F.count("*").alias("n_records")), t, c, "n_records")
-        for t, c in _each(lambda k: k.not_null)
+        quality.null_counts(w.any(t), checks.not_null).select(F.lit(t).alias("table_name"), "column_name", "n_records")
+        for t, checks in DECLARED.items() if checks.not_null
     ]
     return _stack(counts).filter("n_records > 0")
 
 
 def dq_accepted_values(w: Warehouse) -> DataFrame:
     return _stack([
-        _named(quality.accepted_values(w.any(t), c, values), t, c, _text(c), "n_records")
-        for t, (c, values) in _each(lambda k: k.accepted)
+        quality.odd_values(w.any(t), checks.accepted).select(F.lit(t).alias("table_name"), "*")
+        for t, checks in DECLARED.items() if checks.accepted
     ])
 
 

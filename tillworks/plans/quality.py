@@ -48,6 +48,27 @@ def accepted_values(df: DataFrame, column: str, values: Iterable[str]) -> DataFr
     return strange.groupBy(column).agg(F.count("*").alias("n_records"))
 
 
+def null_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """``(column_name, n_records)`` of the NULLs in several columns, from one pass."""
+    columns = list(columns)
+    counted = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_records")) for c in columns]
+    return counted.select(F.inline(F.array(*rows)))
+
+
+def odd_values(df: DataFrame, accepted: Iterable[tuple[str, Iterable[str]]]) -> DataFrame:
+    """``(column_name, value, n_records)`` of the values outside several columns' lists, from one pass.
+
+    Accepted values are dropped before the rows multiply, so clean data shuffles nothing.
+    """
+    found = [
+        F.struct(F.lit(c).alias("column_name"), F.when(~F.col(c).isin(*values), F.col(c)).alias("value"))
+        for c, values in accepted
+    ]
+    odd = df.select(F.inline(F.filter(F.array(*found), lambda cell: cell["value"].isNotNull())))
+    return odd.groupBy("column_name", "value").agg(F.count("*").alias("n_records"))
+
+
 def relationships(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """Child keys without a parent and their row counts: keys are counted first, so a hot key joins as one row."""
     keys = child.groupBy(key).agg(F.count("*").alias("n_records"))
