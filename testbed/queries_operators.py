@@ -11,6 +11,7 @@ from testbed import oracle_base as sql
 from testbed.warehouse import AS_OF, CHECK_DAY, Warehouse
 from tillworks import functions as fn
 from tillworks.operators import aggregates, filters, joins, ordering, sets, windows
+from tillworks.operators.sets import stack
 from tillworks.plans import marts
 
 QUERIES: dict = {}
@@ -288,13 +289,6 @@ _DATES = {
 }
 
 
-def _stack(parts: list[DataFrame]) -> DataFrame:
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part)
-    return stacked
-
-
 def _count_of(df: DataFrame, table: str, *more: Column) -> DataFrame:
     return df.agg(F.lit(table).alias("table_name"), F.count("*").alias("n_records"), *more)
 
@@ -308,7 +302,7 @@ def _count_sql(table: str, where: str, more: str = "") -> str:
     for t, (blank, null) in _REQUIRED.items()
 ))
 def _(w: Warehouse) -> DataFrame:
-    return _stack([
+    return stack([
         _count_of(filters.required_present(w.raw(t), blank, null), t) for t, (blank, null) in _REQUIRED.items()
     ])
 
@@ -320,7 +314,7 @@ _PARSE = {"int": (fn.parse_form_int, sql.integer), "number": (fn.parse_form_numb
     _count_sql(t, " AND ".join(f"{_PARSE[k][1](c)} > 0" for c, k in cols.items())) for t, cols in _POSITIVE.items()
 ))
 def _(w: Warehouse) -> DataFrame:
-    return _stack([
+    return stack([
         _count_of(filters.positive(w.raw(t).select(*(_PARSE[k][0](_col(c)).alias(c) for c, k in cols.items())), *cols), t)
         for t, cols in _POSITIVE.items()
     ])
@@ -331,7 +325,7 @@ def _(w: Warehouse) -> DataFrame:
     for t, c in _DATES.items()
 ))
 def _(w: Warehouse) -> DataFrame:
-    return _stack([
+    return stack([
         _count_of(filters.date_parsed(w.raw(t).select(fn.parse_form_date(_col(c)).alias("d")), "d"), t, F.min("d").alias("first_day"))
         for t, c in _DATES.items()
     ])
@@ -373,7 +367,7 @@ def _(w: Warehouse) -> DataFrame:
     priced = w.staging("stg_products").withColumns({"twice": _col("selling_price") * 2, "bound": _col("cost_price") * 3 + 1})
     found = {"late sale": (late, "sale_id"), "no value": (worthless, "return_id"),
              "below cost": (filters.below(priced, "twice", "bound"), "product_key")}
-    return _stack([df.select(F.lit(rule).alias("rule"), _col(c).alias("record")) for rule, (df, c) in found.items()])
+    return stack([df.select(F.lit(rule).alias("rule"), _col(c).alias("record")) for rule, (df, c) in found.items()])
 
 
 # --- projections --------------------------------------------------------------------------------------------------

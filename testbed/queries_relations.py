@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from testbed.oracle_base import money_avg, month
 from testbed.warehouse import AS_OF, CHECK_DAY, REPORT_DAY, Warehouse
+from tillworks.operators.sets import stack
 from tillworks.plans import dashboards, marts, quality, staging
 from tillworks.plans.quality import DECLARED
 
@@ -38,10 +37,6 @@ for _name in marts.BUILDERS:
 # --- data checks --------------------------------------------------------------------------------------------------
 
 
-def _stack(parts: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
-
-
 def _named(df: DataFrame, table: str, column: str, *rest) -> DataFrame:
     return df.select(F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), *rest)
 
@@ -56,7 +51,7 @@ def _each(get):
 
 
 def dq_unique(w: Warehouse) -> DataFrame:
-    return _stack([
+    return stack([
         _named(quality.unique(w.any(t), c), t, c, _text(c), "n_records") for t, c in _each(lambda k: k.unique)
     ])
 
@@ -66,11 +61,11 @@ def dq_not_null(w: Warehouse) -> DataFrame:
         quality.null_counts(w.any(t), checks.not_null).select(F.lit(t).alias("table_name"), "column_name", "n_records")
         for t, checks in DECLARED.items() if checks.not_null
     ]
-    return _stack(counts).filter("n_records > 0")
+    return stack(counts).filter("n_records > 0")
 
 
 def dq_accepted_values(w: Warehouse) -> DataFrame:
-    return _stack([
+    return stack([
         quality.odd_values(w.any(t), checks.accepted).select(F.lit(t).alias("table_name"), "*")
         for t, checks in DECLARED.items() if checks.accepted
     ])
@@ -78,14 +73,14 @@ def dq_accepted_values(w: Warehouse) -> DataFrame:
 
 def dq_relationships(w: Warehouse) -> DataFrame:
     products = w.staging("stg_products")
-    return _stack([
+    return stack([
         _named(quality.relationships(w.any(t), products, "product_key"), t, "product_key", _text("product_key"), "n_records")
         for t, checks in DECLARED.items() if checks.has_product
     ])
 
 
 def dq_unique_combination(w: Warehouse) -> DataFrame:
-    return _stack([
+    return stack([
         _named(
             quality.unique_combination(w.any(t), list(pair)), t, "+".join(pair), _text(pair[0], "first_value"),
             _text(pair[1], "second_value"), "n_records",

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from testbed import oracle_base as sql
 from testbed.queries_relations import QUERIES as RELATIONS
 from testbed.warehouse import CHECK_DAY, LOADED_AT, Warehouse
+from tillworks.operators.sets import stack
 from tillworks.plans.rebuild import rebuild
 from tillworks.sources import external, load, seeds, tabs
 from tillworks.values import LOADED_AT as LOADED_AT_COLUMN
@@ -106,10 +107,7 @@ def src_empty_tab(w: Warehouse) -> DataFrame:
         )
         for tab in TABS.values()
     ]
-    stacked = shapes[0]
-    for shape in shapes[1:]:
-        stacked = stacked.unionByName(shape)
-    return stacked
+    return stack(shapes)
 
 
 def src_load_all_tabs(w: Warehouse) -> DataFrame:

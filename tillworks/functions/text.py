@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,9 +33,14 @@ def upper_name(c: Column) -> Column:
     return F.upper(trim_ws(c))
 
 
+# ASCII letters, digits and blanks, spelled out: Java tests a class of single characters with one bit lookup, which is
+# several times faster than the same class written with ranges.
+_NOT_IN_SLUG = "[^" + string.ascii_letters + string.digits + r"\t\n\f\r ]+"
+
+
 def product_key_slug(c: Column) -> Column:
     """``Locks - Moment`` -> ``locks_moment``; the key that joins products to every movement."""
-    kept = F.regexp_replace(trim_ws(c), r"[^a-zA-Z0-9\t\n\f\r ]", "")
+    kept = F.regexp_replace(trim_ws(c), _NOT_IN_SLUG, "")
     return F.lower(F.regexp_replace(kept, r"[\t\n\f\r ]+", "_"))
 
 

@@ -221,6 +221,28 @@ def inventory_position(
     )
 
 
+def _map_name(activity: DataFrame) -> str:
+    return "by_month_" + activity.columns[-1]
+
+
+def _months_in_a_map(activity: DataFrame) -> DataFrame:
+    """One row per product with a map from month to its measures: at most one entry per calendar month.
+
+    Joined by product_key alone, so that the dense product-by-month rows are made after the join, where they need no
+    shuffle.
+    """
+    measures = [c for c in activity.columns if c not in ("product_key", "month")]
+    entries = F.collect_list(F.struct("month", F.struct(*measures)))
+    return activity.groupBy("product_key").agg(F.map_from_entries(entries).alias(_map_name(activity)))
+
+
+def _measures_of_month(dense: DataFrame, activity: DataFrame) -> DataFrame:
+    """The row's month taken out of its map; NULL measures where the product had none."""
+    name = _map_name(activity)
+    others = [c for c in dense.columns if c != name]
+    return dense.withColumn(name, F.try_element_at(name, F.col("month"))).select(*others, f"{name}.*")
+
+
 def product_performance(
     products: DataFrame, sales: DataFrame, returns: DataFrame, as_of: dt.date | None = None
 ) -> DataFrame:
@@ -252,21 +274,16 @@ def product_performance(
         F.sum("units_returned").alias("total_units_returned"),
         fn.money_sum(F.col("return_value")).alias("total_return_value"),
     )
-    # The months of all products, active or not. Each product's activity becomes a map from month to measures (at most
-    # one entry per calendar month), so one join on product_key is enough and the dense product-by-month rows are
-    # made after it, where they need no shuffle.
-    months = with_month_of(union_distinct(sales.select("month"), returns.select("month")), as_of)
-    active_months = combine([sold, returned], ["product_key", "month"])
-    measures = [c for c in active_months.columns if c not in ("product_key", "month")]
-    by_month = active_months.groupBy("product_key").agg(
-        F.map_from_entries(F.collect_list(F.struct("month", F.struct(*measures)))).alias("by_month")
-    )
-    dense = explode_spine(left_lookup(active_only(products), by_month, "product_key"), months, "month")
-    measured = dense.withColumn("m", F.try_element_at("by_month", F.col("month"))).select(
-        *(c for c in dense.columns if c != "by_month"), "m.*"
-    )
+    months = with_month_of(union_distinct(sales.select("month"), returns.select("month")), as_of)  # of all products
+    dense = active_only(products)
+    for activity in (sold, returned):
+        dense = left_lookup(dense, _months_in_a_map(activity), "product_key")
+    dense = explode_spine(dense, months, "month")
+    for activity in (sold, returned):
+        dense = _measures_of_month(dense, activity)
+    measures = [c for part in (sold, returned) for c in part.columns if c not in ("product_key", "month")]
     return _finish(
-        measured,
+        dense,
         "product_performance",
         [m for m in measures if m not in ("first_sale_date", "last_sale_date")],
         current_selling_price=F.col("selling_price"),
@@ -381,7 +398,7 @@ def returns_analysis(
     single join, in which AQE can split a product that holds a large part of them.
     """
     volume = sales.groupBy("product_key").agg(F.sum("units_sold").alias("units_sold"))
-    lookup = products.select("product_key", "product_name", "category").join(volume, "product_key", "full")
+    lookup = combine([products.select("product_key", "product_name", "category"), volume], ["product_key"])
     day = F.col("return_date")
     phone = F.col("customer_phone")
     return _finish(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +13,7 @@ from tillworks.functions import as_of_date
 from tillworks.operators.aggregates import latest_by
 from tillworks.operators.filters import below, later_than, not_above_zero
 from tillworks.operators.joins import orphans
+from tillworks.operators.sets import stack
 from tillworks.values import (
     BUSINESS_UNITS,
     CATEGORY_NAMES,
@@ -184,40 +184,55 @@ DECLARED: dict[str, TableChecks] = {
 }
 
 
-def _row_checks(df: DataFrame, table: str, checks: TableChecks) -> DataFrame | None:
-    """All NULL and accepted-value checks of a table from one pass over it.
+# Business rules on single rows: table -> (check, column, violated when). ``as_of`` stands for the reporting day.
+def _row_rules(as_of: Column) -> dict[str, list[tuple[str, str, Column]]]:
+    return {
+        "stg_returns": [
+            ("no_future_return_dates", "return_date", F.col("return_date") > as_of),
+            ("no_negative_return_value", "return_value", F.col("return_value") <= 0),
+        ],
+        "stg_sales": [("no_future_sale_dates", "sale_date", F.col("sale_date") > as_of)],
+        "stg_expenses": [("no_negative_expenses", "amount", F.col("amount") <= 0)],
+        "inventory_position": [("stock_never_negative", "stock_on_hand", F.col("stock_on_hand") < 0)],
+    }
 
-    The table is first reduced to its combinations of accepted-value columns, which clean data has few of; NULLs are
-    summed and strange values counted on those.
+
+def _row_checks(
+    df: DataFrame, table: str, checks: TableChecks, rules: list[tuple[str, str, Column]]
+) -> DataFrame | None:
+    """All checks of a table that look at one row at a time, from one pass over it.
+
+    The table is first reduced to its combinations of accepted-value columns, which clean data has few of; violating
+    rows are summed and strange values counted on those.
     """
-    if not checks.not_null and not checks.accepted:
+    violated = [("not_null", c, F.col(c).isNull()) for c in checks.not_null] + rules
+    if not violated and not checks.accepted:
         return None
-    nulls = {f"null_{c}": c for c in checks.not_null}
+    names = [f"rows_{i}" for i in range(len(violated))]
     profile = df.groupBy(*(c for c, _ in checks.accepted)).agg(
-        *(F.count_if(F.col(c).isNull()).alias(alias) for alias, c in nulls.items()), F.count("*").alias("n_records")
+        F.count("*").alias("n_records"), *(F.count_if(bad).alias(n) for n, (_, _, bad) in zip(names, violated))
     )
     failures = profile.agg(
-        *(F.coalesce(F.sum(alias), F.lit(0)).alias(alias) for alias in nulls),
+        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names),
         *(F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(f"odd_{c}") for c, values in checks.accepted),
     )
-    rows: list[Column] = [_result(table, "not_null", c, F.col(alias)) for alias, c in nulls.items()]
-    rows += [_result(table, "accepted_values", c, F.col(f"odd_{c}")) for c, _ in checks.accepted]
+    rows = [F.struct(*_result(table, check, c, F.col(n))) for n, (check, c, _) in zip(names, violated)]
+    rows += [F.struct(*_result(table, "accepted_values", c, F.col(f"odd_{c}"))) for c, _ in checks.accepted]
     return failures.select(F.inline(F.array(*rows)))
 
 
-def _result(table: str, check: str, column: str, failures: Column) -> Column:
-    return F.struct(
+def _result(table: str, check: str, column: str, failures: Column) -> list[Column]:
+    return [
         F.lit(table).alias("table_name"),
         F.lit(check).alias("check_name"),
         F.lit(column).alias("column_name"),
         failures.cast("bigint").alias("failures"),
-    )
+    ]
 
 
 def _counted(violations: DataFrame, table: str, check: str, column: str, how: Column | None = None) -> DataFrame:
-    failures = F.count("*") if how is None else how
-    counted = violations.agg(F.coalesce(failures, F.lit(0)).alias("failures"))
-    return counted.select(F.inline(F.array(_result(table, check, column, F.col("failures")))))
+    failures = F.count("*") if how is None else F.coalesce(how, F.lit(0))
+    return violations.agg(*_result(table, check, column, failures))
 
 
 def suite_summary(read: Callable[[str], DataFrame], as_of: dt.date | None = None) -> DataFrame:
@@ -227,9 +242,11 @@ def suite_summary(read: Callable[[str], DataFrame], as_of: dt.date | None = None
     accepted_values). A failed check warns; it does not stop anything.
     """
     results: list[DataFrame] = []
+    rules = _row_rules(as_of_date(as_of))
+    tables = {table: read(table) for table in DECLARED}
     for table, checks in DECLARED.items():
-        df = read(table)
-        row_checks = _row_checks(df, table, checks)
+        df = tables[table]
+        row_checks = _row_checks(df, table, checks, rules.get(table, []))
         results += [row_checks] if row_checks is not None else []
         results += [_counted(unique(df, c), table, "unique", c) for c in checks.unique]
         results += [
@@ -237,18 +254,9 @@ def suite_summary(read: Callable[[str], DataFrame], as_of: dt.date | None = None
             for cs in checks.unique_combination
         ]
         if checks.has_product:
-            missing = relationships(df, read("stg_products"), "product_key")
+            missing = relationships(df, tables["stg_products"], "product_key")
             results.append(_counted(missing, table, "relationships", "product_key", F.sum("n_records")))
-    sales, returns, expenses = read("stg_sales"), read("stg_returns"), read("stg_expenses")
-    purchases, inventory = read("stg_inventory_purchases"), read("inventory_position")
-    rules = [
-        (no_future_return_dates(returns, as_of), "stg_returns", "no_future_return_dates", "return_date"),
-        (no_future_sale_dates(sales, as_of), "stg_sales", "no_future_sale_dates", "sale_date"),
-        (no_negative_expenses(expenses), "stg_expenses", "no_negative_expenses", "amount"),
-        (no_negative_return_value(returns), "stg_returns", "no_negative_return_value", "return_value"),
-        (sale_price_above_cost(sales, purchases), "stg_sales", "sale_price_above_cost", "unit_price"),
-        (stock_never_negative(inventory), "inventory_position", "stock_never_negative", "stock_on_hand"),
-    ]
-    results += [_counted(*rule) for rule in rules]
+    too_cheap = sale_price_above_cost(tables["stg_sales"], tables["stg_inventory_purchases"])
+    results.append(_counted(too_cheap, "stg_sales", "sale_price_above_cost", "unit_price"))
     status = F.when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")
-    return reduce(DataFrame.unionByName, results).select("*", status)
+    return stack(results).select("*", status)

@@ -18,6 +18,9 @@ def build_session(app: str = "tillworks", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # HotSpot never compiles methods over 8000 bytes; the wide staging projections exceed that in one whole-stage
+        # method and then run interpreted. With the limit known to Spark it generates them in smaller pieces.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
     }
     settings |= {k.replace("__", "."): v for k, v in conf.items()}
