@@ -472,7 +472,8 @@ def _latest_cost(w: Warehouse) -> DataFrame:
     "WHERE unit_price < latest_cost"
 ))
 def _(w: Warehouse) -> DataFrame:
-    joined = w.staging("stg_sales").select("sale_id", "product_key", "unit_price").join(_latest_cost(w), "product_key")
+    latest = joins.with_own_shuffle(_latest_cost(w), "product_key")
+    joined = w.staging("stg_sales").select("sale_id", "product_key", "unit_price").join(latest, "product_key")
     return filters.below(joined, "unit_price", "latest_cost").drop("product_key")
 
 

@@ -19,6 +19,16 @@ def left_lookup(facts: DataFrame, lookup: DataFrame, on: str | list[str]) -> Dat
     return facts.join(lookup, on, "left")
 
 
+def with_own_shuffle(lookup: DataFrame, key: str) -> DataFrame:
+    """An aggregated lookup whose join with unaggregated facts AQE can split.
+
+    AQE splits a skewed join partition only where both sides come straight out of a shuffle. A lookup grouped by the
+    join key is already partitioned by it, so Spark would join on top of the aggregate and one task would get all rows
+    of a hot key. Recomputing the (text) key makes Spark shuffle the small lookup once more, right below the join.
+    """
+    return lookup.withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
 def null_safe_condition(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, (left[k].eqNullSafe(right[k]) for k in keys))
 

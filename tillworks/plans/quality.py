@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillworks.functions import as_of_date
 from tillworks.operators.aggregates import latest_by
 from tillworks.operators.filters import below, later_than, not_above_zero
-from tillworks.operators.joins import orphans
+from tillworks.operators.joins import orphans, with_own_shuffle
 from tillworks.operators.sets import stack
 from tillworks.values import (
     BUSINESS_UNITS,
@@ -97,17 +97,26 @@ def no_negative_return_value(returns: DataFrame) -> DataFrame:
     )
 
 
+def _latest_costs(purchases: DataFrame) -> DataFrame:
+    latest = latest_by("unit_cost", "purchase_date", "submitted_at").alias("latest_cost_price")
+    return purchases.groupBy("product_key").agg(latest)
+
+
 def sale_price_above_cost(sales: DataFrame, purchases: DataFrame) -> DataFrame:
     """Sales below the product's latest purchase cost: suspicious, not necessarily wrong."""
-    latest = purchases.groupBy("product_key").agg(
-        latest_by("unit_cost", "purchase_date", "submitted_at").alias("latest_cost_price")
-    )
     priced = sales.select("sale_id", "sale_date", "product_key", F.col("unit_price").alias("sale_price"))
-    return below(priced.join(latest, "product_key"), "sale_price", "latest_cost_price").select(
+    costed = priced.join(with_own_shuffle(_latest_costs(purchases), "product_key"), "product_key")
+    return below(costed, "sale_price", "latest_cost_price").select(
         "sale_id", "sale_date", "product_key", "sale_price", "latest_cost_price"
     )
 
 
+def _sales_below_cost(sales: DataFrame, purchases: DataFrame) -> DataFrame:
+    """The same as counts per product and price, for which sales are summed before they are joined."""
+    prices = sales.groupBy("product_key", "unit_price").agg(F.count("*").alias("n_records"))
+    return below(prices.join(_latest_costs(purchases), "product_key"), "unit_price", "latest_cost_price")
+
+
 def stock_never_negative(inventory: DataFrame) -> DataFrame:
     return inventory.filter("stock_on_hand < 0").select("product_key", "product_name", "stock_on_hand")
 
@@ -256,7 +265,7 @@ def suite_summary(read: Callable[[str], DataFrame], as_of: dt.date | None = None
         if checks.has_product:
             missing = relationships(df, tables["stg_products"], "product_key")
             results.append(_counted(missing, table, "relationships", "product_key", F.sum("n_records")))
-    too_cheap = sale_price_above_cost(tables["stg_sales"], tables["stg_inventory_purchases"])
-    results.append(_counted(too_cheap, "stg_sales", "sale_price_above_cost", "unit_price"))
+    too_cheap = _sales_below_cost(tables["stg_sales"], tables["stg_inventory_purchases"])
+    results.append(_counted(too_cheap, "stg_sales", "sale_price_above_cost", "unit_price", F.sum("n_records")))
     status = F.when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")
     return stack(results).select("*", status)
