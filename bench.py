@@ -5,8 +5,9 @@
     BENCH_RUNS    runs per query, the median counts (default 3)
     BENCH_ALL     set to time every registered query
 
-``from_raw`` runs the flagship query as one plan from the given tables to the result. ``build_*`` derive and store the
-raw and staging layers; after that marts read stored staging tables and dashboards stored marts, as in daily operation.
+``build_*`` derive and store the raw, staging and mart layers, once and cold. ``monthly_profit_from_raw`` runs parsing and
+the flagship mart as one plan over the stored raw text. All other marts read stored staging tables and dashboards stored
+marts, as in daily operation.
 Every result is computed whole (written to Spark's noop sink).
 """
 
@@ -56,17 +57,15 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
 
-    def flagship() -> None:
-        builder, inputs, _ = marts.BUILDERS["monthly_profit"]
-        frames = []
-        for table in inputs:
-            clean, raw_table = staging.BUILDERS[table]
-            frames.append(clean(derive.RAW[raw_table](spark, SF_DIR)))
-        run_whole(builder(*frames))
-
-    times["from_raw_monthly_profit"] = timed(flagship, RUNS)
     warehouse = Warehouse.open(spark, SF_DIR)
     times["build_raw"] = timed(lambda: [warehouse.raw(t) for t in derive.RAW], 1)
+    builder, inputs, _ = marts.BUILDERS["monthly_profit"]
+
+    def flagship() -> None:
+        cleaned = [staging.BUILDERS[t][0](warehouse.raw(staging.BUILDERS[t][1])) for t in inputs]
+        run_whole(builder(*cleaned))
+
+    times["monthly_profit_from_raw"] = timed(flagship, RUNS)
     times["build_staging"] = timed(lambda: [warehouse.staging(t) for t in staging.BUILDERS], 1)
     times["build_marts"] = timed(lambda: [warehouse.mart(m) for m in marts.BUILDERS], 1)
     queries = registry.queries()

@@ -13,7 +13,9 @@ from tillworks.plans import dashboards, marts, staging
 
 SF = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(SF).exists(), reason="no test data")
-SOME = [*staging.BUILDERS, *marts.BUILDERS, "src_scan_tab", "src_load_all_tabs", "dq_suite_summary", "dash_top10_products"]
+SOME = [
+    *staging.BUILDERS, "monthly_profit", "product_performance", "unit_performance", "src_scan_tab", "dash_top10_products",
+]
 
 
 def test_every_query_has_sql_and_a_plain_name():
