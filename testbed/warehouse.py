@@ -14,8 +14,9 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from testbed import derive
+from tillworks.plans import marts, staging
 from tillworks.plans.rebuild import build_mart, build_staging
-from tillworks.session import shared_folder
+from tillworks.session import shared_folder, tune
 from tillworks.sources.layers import Layers
 from tillworks.values import MARTS_DB, RAW_DB, STAGING_DB
 
@@ -29,7 +30,7 @@ class Warehouse:
     _open: dict[tuple[str, str], Warehouse] = {}
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = tune(spark), sf_dir
         tail = re.sub(r"\W", "_", sf_dir.rstrip("/").rsplit("/", 1)[-1])
         prefix = f"{tail}_{hashlib.md5(sf_dir.encode()).hexdigest()[:6]}_"
         self.folder = f"{shared_folder(spark)}/tillworks/{spark.sparkContext.applicationId}"
@@ -64,19 +65,15 @@ class Warehouse:
         return self.layers.raw(table)
 
     def staging(self, table: str) -> DataFrame:
-        from tillworks.plans.staging import BUILDERS
-
         def build() -> None:
-            self.raw(BUILDERS[table][1])
+            self.raw(staging.BUILDERS[table][1])
             build_staging(self.layers, table)
 
         self._once(table, build)
         return self.layers.table(STAGING_DB, table)
 
     def mart_inputs(self, mart: str) -> list[DataFrame]:
-        from tillworks.plans.marts import BUILDERS
-
-        return [self.raw(t) if t == "business_units" else self.staging(t) for t in BUILDERS[mart][1]]
+        return [self.raw(t) if t == "business_units" else self.staging(t) for t in marts.BUILDERS[mart][1]]
 
     def mart(self, mart: str) -> DataFrame:
         def build() -> None:

@@ -7,20 +7,22 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# HotSpot never compiles methods over 8000 bytes. The wide staging projections exceed that in one whole-stage method and
+# would run interpreted; with the limit known to Spark it generates them in smaller pieces (about twice as fast).
+RUNTIME_SETTINGS = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+
+
 def build_session(app: str = "tillworks", **conf: str) -> SparkSession:
     """A session with the settings the library expects; keyword arguments override (dots written as ``__``).
 
-    ``initialPartitionNum`` is where AQE starts merging shuffle partitions from, so it should be the largest shuffle
-    divided by about 128 MB; a cluster run raises it, small runs are merged down by themselves.
+    On a cluster set ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` to the largest shuffle divided by
+    about 128 MB: AQE merges small shuffle partitions by itself but starts from that number.
     """
-    settings = {
+    settings = RUNTIME_SETTINGS | {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # HotSpot never compiles methods over 8000 bytes; the wide staging projections exceed that in one whole-stage
-        # method and then run interpreted. With the limit known to Spark it generates them in smaller pieces.
-        "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.ui.enabled": "false",
     }
     settings |= {k.replace("__", "."): v for k, v in conf.items()}
@@ -30,6 +32,13 @@ def build_session(app: str = "tillworks", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the run-time settings to a session built elsewhere."""
+    for key, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``; a temporary one only in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
