@@ -6,13 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import minhash
+from tillworks.llm import decontaminate, minhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that overlaps with a benchmark item, one row for each such pair."""
+    found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: class_id is the smallest doc_id of the class."""
     classes = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -20,7 +26,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_minhash": op10_minhash}
+    return {q.__name__: q for q in (op3_decontaminate, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
