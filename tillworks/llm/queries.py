@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import decontaminate, minhash
+from tillworks.llm import decontaminate, minhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.scored(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: class_id is the smallest doc_id of the class."""
     classes = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -26,7 +32,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op3_decontaminate, op10_minhash)}
+    return {q.__name__: q for q in (op3_decontaminate, op5_toxicity, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
