@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import decontaminate, minhash, toxicity
+from tillworks.llm import decontaminate, minhash, mixing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("text_key")
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    weights = mixing.quality_weights(_table(spark, sf_dir, "labels"))
+    return mixing.mixed(_table(spark, sf_dir, "documents"), weights).select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -32,8 +38,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op3_decontaminate, op5_toxicity, op10_minhash)}
+    return {q.__name__: q for q in (op3_decontaminate, op4_mixing, op5_toxicity, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": mixing.ORACLE}
