@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.llm import decontaminate, minhash, mixing, toxicity
+from tillworks.llm import decontaminate, minhash, mixing, packing, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +31,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, _table(spark, sf_dir, "labels")).drop("text")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each piece of every document lies in the packed id matrices."""
+    placed = packing.segments(packing.packed(_table(spark, sf_dir, "documents")))
+    return placed.select("doc_id", "piece", "pieces", "file", "row", "start", "length", "ids_crc32")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: class_id is the smallest doc_id of the class."""
     classes = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -38,7 +44,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op3_decontaminate, op4_mixing, op5_toxicity, op10_minhash)}
+    return {q.__name__: q for q in (op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
