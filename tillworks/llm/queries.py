@@ -5,14 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillworks.llm import decontaminate, minhash, mixing, packing, toxicity
+from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as read back from the archives it was written to."""
+    return warc.archived(spark, _table(spark, sf_dir, "pages"))
+
+
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every document in eight shards of near equal bytes, tokens and rows."""
+    rows = sharding.sharded(_table(spark, sf_dir, "documents"), 8).drop("row_id")
+    return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that overlaps with a benchmark item, one row for each such pair."""
     found = decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -44,8 +56,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op10_minhash)}
+    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_mixing": mixing.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE}
