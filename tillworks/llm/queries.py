@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, toxicity, warc
+from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,12 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "piece", "pieces", "file", "row", "start", "length", "ids_crc32")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", topk.integers(F.col("embedding")).alias("v"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: class_id is the smallest doc_id of the class."""
     classes = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -56,8 +62,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op10_minhash)}
+    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE}
