@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, topk, toxicity, warc
+from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,11 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under the suffix tree and the unigram model."""
+    return suffix_tree.scored(_table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document: class_id is the smallest doc_id of the class."""
     classes = minhash.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -62,7 +67,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op10_minhash)}
+    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op9_suffix_tree, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
