@@ -14,8 +14,7 @@ from tillworks.llm.storage import stored
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject."""
-    scored = toxicity.scored(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return scored.where("predicted = 0").select(docs.columns)
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tillworks.llm.arrow_text import Hasher, golden, long_lists, mix, slices, word_hashes
 from tillworks.llm.bits import BitFilter
-from tillworks.llm.storage import stored
+from tillworks.llm.storage import stored, unused
 
 MASKS = ("11101101", "110010111", "1101001011", "10110001101")  # weights 6, 6, 6, 6
 MIN_WORDS = 10
@@ -162,5 +162,6 @@ def leaks(
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of a table that overlap with no benchmark item; its columns stay as they are."""
-    bad = leaks(docs, benchmark, **options).select("text_key").distinct()
-    return docs.join(stored(bad, "leaked-texts"), text_key(F.col("text")) == F.col("text_key"), "left_anti")
+    name = unused(docs, "text_key")
+    bad = stored(leaks(docs, benchmark, **options).select(F.col("text_key").alias(name)).distinct(), "leaked-texts")
+    return docs.join(bad, text_key(docs["text"]) == bad[name], "left_anti")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillworks.llm.storage import stored
+from tillworks.llm.storage import stored, unused
 
 SHARES, TOTAL, MOST = (5, 2, 1), 1.5, 2.0
 BUCKETS = 1 << 14
@@ -126,9 +126,10 @@ def mixed(
 
 def repeated(docs: DataFrame, weights: DataFrame, **options) -> DataFrame:
     """The rows of a stored table as often as the mix takes them; its columns stay as they are."""
-    copies = mixed(docs, weights, **options).where("copies > 0").select("row_id", "copies")
-    taken = docs.withColumn("row_id", F.monotonically_increasing_id()).join(copies, "row_id")
-    return taken.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(docs.columns)
+    name, times = unused(docs, "row_id"), unused(docs, "copies")
+    copies = mixed(docs, weights, **options).where("copies > 0").select(F.col("row_id").alias(name), F.col("copies").alias(times))
+    taken = docs.withColumn(name, F.monotonically_increasing_id()).join(copies, name)
+    return taken.withColumn(times, F.explode(F.array_repeat(F.lit(1), F.col(times).cast("int")))).select(docs.columns)
 
 
 ORACLE = f"""

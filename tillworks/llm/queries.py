@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, warc
+from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,13 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, 5)
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on the url of every page."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    mined = urls.mine(urls.labelled_pages(pages, _table(spark, sf_dir, "labels")))
+    return urls.judged(pages, mined).drop("url", "confidence")
+
+
 def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log-probability of every document under the suffix tree and the unigram model."""
     return suffix_tree.scored(_table(spark, sf_dir, "documents"))
@@ -67,7 +74,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op9_suffix_tree, op10_minhash)}
+    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op8_urls, op9_suffix_tree, op10_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:

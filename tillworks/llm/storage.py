@@ -25,6 +25,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, lengthened until no column of the table has it."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def open_folder(path: str) -> tuple[fs.FileSystem, str]:
     """The file system and the bare path of a folder given as a URI or a plain path. Works inside tasks."""
     return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")

@@ -283,6 +283,12 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows whose score is below 0.5, learned as in ``scored``; columns stay as they are."""
+    model = train(docs, labels.where(~held_out(F.col("doc_id"))), **options)
+    return docs.where(scorer(docs.sparkSession, model)(F.lower("text")) < 0.5)
+
+
 def scored(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """All columns of ``docs`` (clashing ones replaced) and ``held_out``, ``score`` (0 to 1), ``predicted`` (1 from 0.5).
 
