@@ -100,14 +100,22 @@ def against(m: np.ndarray, table: np.ndarray) -> np.ndarray:
     return total * _scale(m)
 
 
-def features(m: np.ndarray) -> np.ndarray:
-    """The kernel's own feature vectors of a few words."""
-    out = np.zeros((len(m), SYMBOLS**3))
+def features(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the subsequences that occur in a few words, and the words' vectors over them."""
+    used = np.unique(np.concatenate([number.ravel() for number, _ in _subsequences(m)]))
+    used = used[used > 0]
+    out = np.zeros((len(m), len(used) + 1))
     rows = np.arange(len(m))[:, None]
     for number, weight in _subsequences(m):
-        np.add.at(out, (np.broadcast_to(rows, number.shape), number), weight)
-    out[:, 0] = 0
-    return out * _scale(m)[:, None]
+        at = np.where(number > 0, np.searchsorted(used, number), len(used))
+        np.add.at(out, (np.broadcast_to(rows, number.shape), at), weight)
+    return used, out[:, :-1] * _scale(m)[:, None]
+
+
+def _table(used: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    out = np.zeros(SYMBOLS**3)
+    out[used] = weights
+    return out
 
 
 def _newton(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float) -> np.ndarray:
@@ -247,16 +255,16 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
 
     order = np.random.default_rng(7).permutation(len(common))[:LANDMARKS]
     marks = _codes(found[:LANDMARKS] + [common[k] for k in sorted(order)])
-    maps = features(marks)
+    used, maps = features(marks)
     words = _codes(found + common)
-    kernel = np.stack([against(words, row) for row in maps], 1)
+    kernel = np.stack([against(words, _table(used, row)) for row in maps], 1)
     values, vectors = np.linalg.eigh(maps @ maps.T)
-    used = values > 1e-6
-    nystroem = vectors[:, used] / np.sqrt(values[used])
+    large = values > 1e-6
+    nystroem = vectors[:, large] / np.sqrt(values[large])
     z = np.hstack([kernel @ nystroem, np.ones((len(words), 1))])
     y = np.where(np.arange(len(words)) < len(found), 1.0, -1.0)
     v = _newton(z, y, np.where(y > 0, len(common) / len(found) / 4, 1.0), 1.0)
-    model = Model((nystroem @ v[:-1]) @ maps, float(v[-1]), constant.logistic)
+    model = Model(_table(used, (nystroem @ v[:-1]) @ maps), float(v[-1]), constant.logistic)
 
     rows = sample.mapInArrow(_document_features(model), "toxic long, x array<double>").toArrow()
     x = np.stack(rows["x"].to_numpy(zero_copy_only=False))
