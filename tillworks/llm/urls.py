@@ -12,7 +12,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.storage import stored
+from tillworks.llm.storage import stored, unused
 
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
 MIN_SUPPORT, MIN_COUNT, MIN_CONFIDENCE = 0.002, 10, 0.6
@@ -96,18 +96,19 @@ def judged(urls: DataFrame, mined: DataFrame, rules: tuple[tuple[str, str], ...]
     """All columns of a stored table with ``url`` and ``host``, ``path``, ``rule`` (fixed, else null), ``confidence`` (of the
     strongest mined rule that fits, else null) and ``verdict``: that of the fixed rule, else block if a mined rule fits, else
     allow. Columns of these names are replaced. Null URLs have empty host and path and fit nothing."""
-    rows = urls.withColumn("row_id", F.monotonically_increasing_id())
-    items = rows.select("row_id", tokens(F.coalesce("url", F.lit(""))).alias("items"))
-    each = items.select("row_id", "items", F.explode("items").alias("anchor"))
+    name = unused(urls, "row_id")
+    rows = urls.withColumn(name, F.monotonically_increasing_id())
+    items = rows.select(name, tokens(F.coalesce("url", F.lit(""))).alias("items"))
+    each = items.select(name, "items", F.explode("items").alias("anchor"))
     fits = each.join(mined, "anchor").where(F.size(F.array_except("antecedent", "items")) == 0)
-    fits = stored(fits.groupBy("row_id").agg(F.max("confidence").alias("confidence")), "matched-urls")
+    fits = stored(fits.groupBy(name).agg(F.max("confidence").alias("confidence")), "matched-urls")
     kept = [c for c in rows.columns if c not in ("host", "path", "rule", "confidence", "verdict")]
-    parted = rows.select(*kept, host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).join(fits, "row_id", "left")
+    parted = rows.select(*kept, host(F.col("url")).alias("host"), path(F.col("url")).alias("path")).join(fits, name, "left")
     mined_verdict = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     where = F.col("host"), F.col("path")
     return parted.withColumns(
         {"rule": fixed_rule(*where, rules, 0), "verdict": F.coalesce(fixed_rule(*where, rules, 1), mined_verdict)}
-    ).drop("row_id")
+    ).drop(name)
 
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
