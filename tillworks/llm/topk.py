@@ -99,7 +99,10 @@ class Block:
 
     def exact(self, other: Block) -> np.ndarray:
         """All inner products. Products of whole numbers below 2^53 are exact in doubles."""
-        if self.norm.max(initial=0) * other.norm.max(initial=0) < 2.0**52:
+        most = self.norm.max(initial=0) * other.norm.max(initial=0)
+        if most >= 2.0**63:
+            raise OverflowError("an inner product does not fit into a long")
+        if most < 2.0**52:
             return (self.v.astype(float) @ other.v.astype(float).T).astype(np.int64)
         return self.v @ other.v.T
 
