@@ -71,7 +71,7 @@ def main() -> int:
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
-    spark = build_session("compare", spark__master="local[8]", spark__sql__shuffle__partitions="8")
+    spark = build_session("compare", spark__master="local[4]", spark__sql__shuffle__partitions="4")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(args.sf)
     queries, oracle = registry.queries(), registry.oracle_sql()

@@ -11,20 +11,10 @@ from pyspark.sql import functions as F
 
 from tillworks.values import CATEGORY_NAMES, EXPENSE_CATEGORIES, REFUND_METHODS, RETURN_REASONS, UNITS_OF_MEASURE
 
-SMALL_SPLIT = 128 << 20
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that is too small to give each of them a split of its own; larger ones stay put."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < SMALL_SPLIT * cores else df
-
-
 def _pick(n: Column, values: tuple[str, ...]) -> Column:
     return F.get(F.array(*(F.lit(v) for v in values)), n.cast("int"))
 
@@ -45,8 +35,6 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
-
-
 def _retail() -> Column:
     return F.col("p_retailprice").cast("decimal(18,2)")
 
@@ -65,7 +53,7 @@ def _salesperson() -> Column:
 
 def _lines(spark: SparkSession, sf_dir: str, with_orders: bool) -> DataFrame:
     """Order lines with their part, supplier and nation, and their order where the customer is needed."""
-    lines = spread(read(spark, sf_dir, "lineitem"))
+    lines = read(spark, sf_dir, "lineitem")
     part = read(spark, sf_dir, "part")
     supplier, nation = read(spark, sf_dir, "supplier"), read(spark, sf_dir, "nation")
     if with_orders:
@@ -131,7 +119,7 @@ def returns_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expenses_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(read(spark, sf_dir, "orders"))
+    orders = read(spark, sf_dir, "orders")
     customer, nation = read(spark, sf_dir, "customer"), read(spark, sf_dir, "nation")
     df = orders.join(customer, orders.o_custkey == customer.c_custkey).join(
         nation, customer.c_nationkey == nation.n_nationkey
@@ -157,7 +145,7 @@ def expenses_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inventory_purchases_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _lines(spark, sf_dir, with_orders=False).filter("l_linenumber <= 3")
+    df = _lines(spark, sf_dir, with_orders=False)
     day = F.col("l_shipdate")
     return df.select(
         _stamp(day).alias("Timestamp"),
@@ -176,7 +164,7 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each part once; every tenth is submitted again a month later with another price."""
     part = F.col("p_partkey")
     versions = F.when(part % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    df = spread(read(spark, sf_dir, "part")).withColumn("v", F.explode(versions))
+    df = read(spark, sf_dir, "part").withColumn("v", F.explode(versions))
     return df.select(
         F.when(F.col("v") == 1, "2/1/1995 8:00:00").otherwise("1/1/1995 8:00:00").alias("Timestamp"),
         _product().alias("Product_Name"),

@@ -22,7 +22,7 @@ def blank_null(c: str) -> str:
 
 
 def number(c: str) -> str:
-    return f"try_cast(nullif(regexp_replace({c}, '[^0-9.\\-]', '', 'g'), '') AS DECIMAL(27,9))"
+    return f"try_cast(nullif(regexp_replace({c}, '[^0-9.\\-]', '', 'g'), '') AS DECIMAL(38,9))"
 
 
 def integer(c: str) -> str:
@@ -77,11 +77,11 @@ def week(c: str) -> str:
 
 
 def money(c: str) -> str:
-    return f"round({c}, 2)::DECIMAL(28,2)"
+    return f"round({c}, 2)::DECIMAL(38,2)"
 
 
 def zero_money(c: str) -> str:
-    return f"coalesce({money(c)}, 0)::DECIMAL(28,2)"
+    return f"coalesce({money(c)}, 0)::DECIMAL(38,2)"
 
 
 def zero_count(c: str) -> str:
@@ -100,7 +100,7 @@ def scaled(c: str, digits: int) -> str:
     return f"(({c})::DECIMAL(38,{digits}) * {10 ** digits})::HUGEINT"
 
 
-def fixed(n: str, digits: int, width: int = 28) -> str:
+def fixed(n: str, digits: int, width: int = 38) -> str:
     """A whole number of 10^-digits as DECIMAL."""
     unit = "0." + "0" * (digits - 1) + "1"
     return f"(({n})::DECIMAL({width - digits},0) * {unit})::DECIMAL({width},{digits})"
@@ -114,7 +114,7 @@ def pct(part: str, whole: str, digits: int = 2, otherwise: str = "NULL") -> str:
     """part / whole to nine digits, times 100, to one digit; for amounts with ``digits`` decimals."""
     quotient = half_away(f"{scaled(part, digits)} * 1000000000", scaled(whole, digits))
     return (
-        f"CASE WHEN {whole} > 0 THEN {fixed(half_away(f'{quotient} * 1000', '1000000000'), 1)} "
+        f"CASE WHEN {whole} > 0 THEN {fixed(half_away(f'{quotient} * 1000', '1000000000'), 1, 28)} "
         f"ELSE {otherwise} END::DECIMAL(28,1)"
     )
 
@@ -199,7 +199,7 @@ SELECT {_STAMP.format('l_shipdate')} AS "Timestamp", strftime(l_shipdate, '%Y-%m
   ({_RETAIL} * 2 + l_linenumber * 10)::VARCHAR AS Unit_Cost_KES, s_name AS Supplier_Name,
   {_PAID} AS Payment_Method, NULL::VARCHAR AS Notes_Comments,
   CASE WHEN n_nationkey < 20 THEN n_name END AS Business_Unit
-FROM {_LINES} WHERE l_linenumber <= 3"""
+FROM {_LINES}"""
 
 CTE["products_raw"] = f"""
 SELECT CASE WHEN v = 1 THEN '2/1/1995 8:00:00' ELSE '1/1/1995 8:00:00' END AS "Timestamp",
@@ -249,13 +249,13 @@ QUALIFY row_number() OVER (PARTITION BY product_key ORDER BY submitted_at DESC N
 _SALE_ID = md5_key(trim('"Date"'), trim("Salesperson_Name"), trim("Product"), '"Timestamp"')
 
 CTE["stg_sales"] = f"""
-SELECT *, round({_line('units_sold', 'unit_price')}, 2)::DECIMAL(18,2) AS gross_amount,
-  round({_line('units_sold', 'unit_price')} - discount_amount, 2)::DECIMAL(18,2) AS net_amount
+SELECT *, round({_line('units_sold', 'unit_price')}, 2)::DECIMAL(38,2) AS gross_amount,
+  round({_line('units_sold', 'unit_price')} - discount_amount, 2)::DECIMAL(38,2) AS net_amount
 FROM (
   SELECT {_SALE_ID} AS sale_id, {date('"Date"')} AS sale_date, upper({trim('Salesperson_Name')}) AS salesperson_name,
     {slug('Product')} AS product_key, {integer('Units_Sold')} AS units_sold,
-    coalesce({number('Unit_Price_KES')}, 0)::DECIMAL(27,9) AS unit_price,
-    coalesce({number('Discount_Amount_KES')}, 0)::DECIMAL(27,9) AS discount_amount,
+    coalesce({number('Unit_Price_KES')}, 0)::DECIMAL(38,9) AS unit_price,
+    coalesce({number('Discount_Amount_KES')}, 0)::DECIMAL(38,9) AS discount_amount,
     {trim('Payment_Method')} AS payment_method, {phone('Customer_Phone_Number')} AS customer_phone,
     coalesce({trim('Customer_Type')}, '') AS customer_type, {_UNIT_CLEAN}, {blank_null('Notes')} AS notes, {_SUBMITTED}
   FROM sales_raw WHERE {trim('"Date"')} <> '' AND {trim('Product')} <> '')
@@ -275,7 +275,7 @@ WHERE amount > 0 AND expense_date IS NOT NULL"""
 _PURCHASE_ID = md5_key(trim("Date_of_Purchase"), trim("Product_Purchased"), trim("Units_Purchased"), '"Timestamp"')
 
 CTE["stg_inventory_purchases"] = f"""
-SELECT *, round({_line('units_purchased', 'unit_cost')}, 2)::DECIMAL(18,2) AS total_cost
+SELECT *, round({_line('units_purchased', 'unit_cost')}, 2)::DECIMAL(38,2) AS total_cost
 FROM (
   SELECT {_PURCHASE_ID} AS purchase_id, {date('Date_of_Purchase')} AS purchase_date,
     {slug('Product_Purchased')} AS product_key, {integer('Units_Purchased')} AS units_purchased,
@@ -289,12 +289,12 @@ _RETURN_ID = md5_key(
 )
 
 CTE["stg_returns"] = f"""
-SELECT *, round({_line('units_returned', 'original_unit_price')}, 2)::DECIMAL(18,2) AS return_value
+SELECT *, round({_line('units_returned', 'original_unit_price')}, 2)::DECIMAL(38,2) AS return_value
 FROM (
   SELECT {_RETURN_ID} AS return_id, {date('Date_of_Return')} AS return_date,
     upper({trim('Salesperson_Name')}) AS salesperson_name, {slug('Product_Returned')} AS product_key,
     {integer('Units_Returned')} AS units_returned,
-    coalesce({number('Original_Unit_Price_KES')}, 0)::DECIMAL(27,9) AS original_unit_price,
+    coalesce({number('Original_Unit_Price_KES')}, 0)::DECIMAL(38,9) AS original_unit_price,
     {trim('Reason_for_Return')} AS return_reason, {trim('Requested_Refund_Method')} AS refund_method,
     {phone('Customer_Phone_Number')} AS customer_phone, {_UNIT_CLEAN}, {blank_null('Notes')} AS notes, {_SUBMITTED}
   FROM returns_raw WHERE {trim('Date_of_Return')} <> '' AND {trim('Product_Returned')} <> '')
@@ -365,7 +365,7 @@ SELECT *, {money('stock_on_hand::DECIMAL(12,0) * latest_unit_cost')} AS inventor
 FROM (
   SELECT product_key, product_name, category, unit_of_measure, selling_price, reorder_level,
     {zero_count('bought')} AS total_purchased, {zero_money('spent')} AS total_purchase_cost,
-    last_day AS last_purchase_date, coalesce(latest_cost, 0)::DECIMAL(27,9) AS latest_unit_cost,
+    last_day AS last_purchase_date, coalesce(latest_cost, 0)::DECIMAL(38,9) AS latest_unit_cost,
     {zero_count('sold')} AS total_sold, {zero_count('back')} AS total_returned, {zero_money('revenue')} AS total_revenue,
     {zero_money('refunded')} AS total_return_value,
     (coalesce(bought, 0) - coalesce(sold, 0) + coalesce(back, 0))::BIGINT AS stock_on_hand
@@ -375,7 +375,7 @@ CTE["product_months"] = f"""
 SELECT product_key, mon, count(*) {_S} AS n, sum(q) {_S} AS units, sum(q) {_R} AS back, sum(amt) {_S} AS revenue,
   sum(amt) {_R} AS refunded, sum(disc) {_S} AS disc, {money_avg(f'sum(price) {_S}', f'count(*) {_S}', 9)} AS avg_price,
   min(d) {_S} AS first_day, max(d) {_S} AS last_day, sum({_COST}) {_S} AS cogs,
-  {money(f"sum(q::DECIMAL(10,0) * greatest(price - coalesce(cost_price, 0), 0)::DECIMAL(27,9)) {_S}")} AS profit
+  {money(f"sum(q::DECIMAL(10,0) * greatest(price - coalesce(cost_price, 0), 0)::DECIMAL(38,9)) {_S}")} AS profit
 FROM moves LEFT JOIN stg_products USING (product_key) WHERE kind <> 'expense' GROUP BY product_key, mon"""
 
 CTE["product_performance"] = f"""
@@ -429,7 +429,7 @@ SELECT who AS salesperson_name, mon AS "month", count(*) {_NS} AS total_transact
   count(*) {_NR} AS total_returns_processed, {zero_count(f'sum(q) {_NR}')} AS total_units_returned,
   {zero_money(f'sum(amt) {_NS}')} AS total_revenue, {zero_money(f'sum(amt) {_NR}')} AS total_return_value,
   {zero_money(f'sum(disc) {_NS}')} AS total_discounts_given,
-  coalesce(CASE WHEN count(*) {_NS} > 0 THEN {money_avg(f'sum(amt) {_NS}', f'count(*) {_NS}')} END, 0)::DECIMAL(28,2)
+  coalesce(CASE WHEN count(*) {_NS} > 0 THEN {money_avg(f'sum(amt) {_NS}', f'count(*) {_NS}')} END, 0)::DECIMAL(38,2)
     AS avg_transaction_value,
   {zero_money("sum(amt) " + _NAMED.format("sale", " AND pay = 'M-Pesa'"))} AS mpesa_revenue,
   {zero_money("sum(amt) " + _NAMED.format("sale", " AND pay = 'Bank'"))} AS bank_revenue,

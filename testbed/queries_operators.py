@@ -87,7 +87,7 @@ _project(
     + sql.fixed(sql.half_away(f"{sql.scaled('net_amount', 9)} * 10000", sql.scaled("discount_amount", 9)), 4)
     + " END::DECIMAL(28,4) AS net_per_discount", "net_amount", "discount_amount",
     derived=lambda: {
-        "net_per_discount": fn.safe_divide(_col("net_amount"), _col("discount_amount")).cast("decimal(28,4)"),
+        "net_per_discount": fn.safe_divide(*(_col(c).cast("decimal(28,9)") for c in ("net_amount", "discount_amount"))).cast("decimal(28,4)"),
     },
 )
 _project(
@@ -145,7 +145,7 @@ _project(
 _project(
     "default_if_unparsable", "products_raw",
     f"""coalesce({sql.integer('Reorder_Level')}, 5)::BIGINT AS reorder_level,
-    coalesce({sql.number('Cost_Price_KES')}, 0)::DECIMAL(27,9) AS cost_price""", "Product_Name",
+    coalesce({sql.number('Cost_Price_KES')}, 0)::DECIMAL(38,9) AS cost_price""", "Product_Name",
     derived=lambda: {
         "reorder_level": fn.default_if_unparsable(fn.parse_form_int(_col("Reorder_Level")), 5),
         "cost_price": fn.default_if_unparsable(fn.parse_form_number(_col("Cost_Price_KES")), 0).cast(fn.NUMBER),
@@ -195,15 +195,15 @@ _project(
 _project(
     "fn_round_half_away", "stg_sales",
     "round(unit_price, 1)::DECIMAL(28,1) AS one_digit, round(-unit_price, 0)::DECIMAL(28,0) AS negative, "
-    "round(unit_price, 2)::DECIMAL(28,2) AS two_digits", "unit_price",
+    "round(unit_price, 2)::DECIMAL(38,2) AS two_digits", "unit_price",
     derived=lambda: {
         "one_digit": F.round("unit_price", 1).cast("decimal(28,1)"),
         "negative": F.round(-_col("unit_price"), 0).cast("decimal(28,0)"),
-        "two_digits": F.round("unit_price", 2).cast("decimal(28,2)"),
+        "two_digits": F.round("unit_price", 2).cast(fn.MONEY),
     },
 )
 _project(
-    "fn_coalesce", "stg_products", "coalesce(cost_price, 0)::DECIMAL(27,9) AS cost", "product_key", "cost_price",
+    "fn_coalesce", "stg_products", "coalesce(cost_price, 0)::DECIMAL(38,9) AS cost", "product_key", "cost_price",
     derived=lambda: {
         "cost": fn.zero_if_null(_col("cost_price")).cast(fn.NUMBER),
     },
@@ -212,7 +212,9 @@ _project(
     "fn_greatest_floor0", "stg_products",
     "greatest(coalesce(cost_price, 0) - selling_price + 1000, 0)::DECIMAL(28,9) AS floored", "product_key",
     derived=lambda: {
-        "floored": fn.greatest_or_zero(fn.zero_if_null(_col("cost_price")) - _col("selling_price") + 1000).cast("decimal(28,9)"),
+        "floored": fn.greatest_or_zero(
+            fn.difference(fn.zero_if_null(_col("cost_price")), _col("selling_price")).cast("decimal(28,9)") + 1000
+        ).cast("decimal(28,9)"),
     },
 )
 _project(
@@ -230,7 +232,7 @@ _project(
     f"""{sql.pct('(selling_price - coalesce(cost_price, 0))', 'selling_price', 9)} AS margin_pct,
     {sql.count_pct('reorder_level', '(reorder_level - 100)')} AS level_pct""", "product_key",
     derived=lambda: {
-        "margin_pct": fn.ratio_pct(_col("selling_price") - fn.zero_if_null(_col("cost_price")), _col("selling_price")),
+        "margin_pct": fn.ratio_pct(fn.difference(_col("selling_price"), fn.zero_if_null(_col("cost_price"))), _col("selling_price")),
         "level_pct": fn.count_ratio_pct(_col("reorder_level"), _col("reorder_level") - 100),
     },
 )
@@ -258,12 +260,12 @@ _project(
 _project(
     "fn_arith", "stg_sales",
     """(units_sold * 2 - 3)::BIGINT AS whole, (units_sold::DECIMAL(10,0) * unit_price)::DECIMAL(38,9) AS product,
-    (unit_price - discount_amount)::DECIMAL(28,9) AS difference, (unit_price + discount_amount)::DECIMAL(28,9) AS total""",
+    (unit_price - discount_amount)::DECIMAL(38,9) AS difference, (unit_price + discount_amount)::DECIMAL(38,9) AS total""",
     derived=lambda: {
         "whole": _col("units_sold") * 2 - 3,
-        "product": _col("units_sold").cast("decimal(10,0)") * _col("unit_price"),
-        "difference": _col("unit_price") - _col("discount_amount"),
-        "total": _col("unit_price") + _col("discount_amount"),
+        "product": fn.total_value(_col("units_sold"), _col("unit_price")),
+        "difference": fn.difference(_col("unit_price"), _col("discount_amount")),
+        "total": fn.difference(_col("unit_price"), -_col("discount_amount")),
     },
 )
 
@@ -352,9 +354,12 @@ _LATEST_PURCHASE = (
 )
 
 
-@_query("flt_rank_one", f"SELECT product_key, purchase_id {_LATEST_PURCHASE}")
+@_query("flt_rank_one", """
+SELECT customer_phone, sale_date, net_amount FROM stg_sales WHERE customer_phone IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY customer_phone ORDER BY sale_date DESC, net_amount DESC) = 1""")
 def _(w: Warehouse) -> DataFrame:
-    return _latest_purchase(w).select("product_key", "purchase_id")
+    sales = filters.with_value(w.staging("stg_sales"), "customer_phone").select("customer_phone", "sale_date", "net_amount")
+    return windows.latest_per_key(sales, ["customer_phone"], [_col("sale_date").desc(), _col("net_amount").desc()])
 
 
 @_query("flt_theta_violation", f"""
@@ -380,8 +385,8 @@ def _(w: Warehouse) -> DataFrame:
 
 _project(
     "proj_derived_amounts", "stg_sales",
-    """round(units_sold::DECIMAL(10,0) * unit_price, 2)::DECIMAL(18,2) AS gross,
-    round(units_sold::DECIMAL(10,0) * unit_price - discount_amount, 2)::DECIMAL(18,2) AS net""", "sale_id", "units_sold",
+    """round(units_sold::DECIMAL(10,0) * unit_price, 2)::DECIMAL(38,2) AS gross,
+    round(units_sold::DECIMAL(10,0) * unit_price - discount_amount, 2)::DECIMAL(38,2) AS net""", "sale_id", "units_sold",
     derived=lambda: {
         "gross": fn.line_amount(_col("units_sold"), _col("unit_price")),
         "net": fn.line_amount(_col("units_sold"), _col("unit_price"), less=_col("discount_amount")),
@@ -389,7 +394,7 @@ _project(
 )
 _project(
     "proj_explicit_reorder", "stg_inventory_purchases",
-    "round(units_purchased::DECIMAL(10,0) * unit_cost, 2)::DECIMAL(18,2) AS cost, supplier_name", "purchase_id",
+    "round(units_purchased::DECIMAL(10,0) * unit_cost, 2)::DECIMAL(38,2) AS cost, supplier_name", "purchase_id",
     "unit_cost",
     derived=lambda: {
         "cost": fn.line_amount(_col("units_purchased"), _col("unit_cost")),
@@ -463,8 +468,9 @@ _LATEST_COST = (
 
 
 def _latest_cost(w: Warehouse) -> DataFrame:
-    latest = aggregates.latest_by("unit_cost", "purchase_date", "submitted_at").alias("latest_cost")
-    return w.staging("stg_inventory_purchases").groupBy("product_key").agg(latest)
+    purchases = w.staging("stg_inventory_purchases")
+    latest = aggregates.with_latest(purchases, ["product_key"], "unit_cost", "purchase_date", "submitted_at", "latest_cost")
+    return latest.select("product_key", "latest_cost")
 
 
 @_query("join_inner_to_aggregate", (
@@ -543,8 +549,8 @@ _grouped(
     "agg_avg_round", "stg_sales", ["salesperson_name"],
     f"{sql.money_avg('sum(net_amount)', 'count(*)')} AS avg_net, {sql.money_avg('sum(unit_price)', 'count(*)', 9)} AS avg_price",
     measures=lambda: {
-        "avg_net": F.round(F.avg("net_amount"), 2).cast(fn.MONEY_TOTAL),
-        "avg_price": F.round(F.avg("unit_price"), 2).cast(fn.MONEY_TOTAL),
+        "avg_net": F.round(F.avg("net_amount"), 2).cast(fn.MONEY),
+        "avg_price": F.round(F.avg("unit_price"), 2).cast(fn.MONEY),
     },
 )
 _grouped(
@@ -589,7 +595,7 @@ def _(w: Warehouse) -> DataFrame:
 
 @_query("agg_sum_floored_margin", f"""
 SELECT product_key,
-  {sql.money('sum(q::DECIMAL(10,0) * greatest(price - coalesce(cost_price, 0), 0)::DECIMAL(27,9))')} AS profit
+  {sql.money('sum(q::DECIMAL(10,0) * greatest(price - coalesce(cost_price, 0), 0)::DECIMAL(38,9))')} AS profit
 FROM {_COST_JOIN} GROUP BY product_key""")
 def _(w: Warehouse) -> DataFrame:
     units = w.staging("stg_sales").groupBy("product_key", "unit_price").agg(F.sum("units_sold").alias("units"))
@@ -650,9 +656,15 @@ def _(w: Warehouse) -> DataFrame:
     return ordering.sort_by(marts.expense_summary(w.staging("stg_expenses")), *marts.ORDER["expense_summary"])
 
 
-@_query("topk_per_group", f"SELECT product_key, latest_cost FROM {_LATEST_COST}")
+@_query("topk_per_group", f"""
+SELECT unit, salesperson_name, revenue FROM (
+  SELECT unit, salesperson_name, {sql.money('sum(net_amount)')} AS revenue FROM stg_sales
+  WHERE unit IS NOT NULL AND salesperson_name IS NOT NULL GROUP BY unit, salesperson_name)
+QUALIFY row_number() OVER (PARTITION BY unit ORDER BY revenue DESC, salesperson_name) <= 3""")
 def _(w: Warehouse) -> DataFrame:
-    return _latest_cost(w)
+    named = filters.with_value(filters.with_value(w.staging("stg_sales"), "unit"), "salesperson_name")
+    revenue = named.groupBy("unit", "salesperson_name").agg(fn.money_sum(_col("net_amount")).alias("revenue"))
+    return windows.top_per_key(revenue, ["unit"], [_col("revenue").desc(), _col("salesperson_name").asc()], 3)
 
 
 @_query("topk_global", f"""

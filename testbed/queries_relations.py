@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from testbed import oracle_base as sql
 from testbed.oracle_base import money_avg, month
 from testbed.warehouse import AS_OF, CHECK_DAY, REPORT_DAY, Warehouse
+from tillworks import functions as fn
 from tillworks.operators.sets import stack
 from tillworks.plans import dashboards, marts, quality, staging
 from tillworks.plans.quality import DECLARED
@@ -50,9 +54,13 @@ def _each(get):
     return [(t, item) for t, checks in DECLARED.items() for item in get(checks)]
 
 
+_TWICE = ("products_raw", "Product_Name")  # a form column that does repeat
+
+
 def dq_unique(w: Warehouse) -> DataFrame:
     return stack([
-        _named(quality.unique(w.any(t), c), t, c, _text(c), "n_records") for t, c in _each(lambda k: k.unique)
+        _named(quality.unique(df, c), t, c, _text(c), "n_records") for t, c, df in
+        [(t, c, w.any(t)) for t, c in _each(lambda k: k.unique)] + [(*_TWICE, w.raw(_TWICE[0]))]
     ])
 
 
@@ -104,7 +112,7 @@ def _quoted_list(values) -> str:
 QUERIES["dq_unique"] = (dq_unique, _union([
     f"{_head(t, c)}, {c}::VARCHAR AS value, count(*) AS n_records FROM {t} WHERE {c} IS NOT NULL "
     f"GROUP BY {c} HAVING count(*) > 1"
-    for t, c in _each(lambda k: k.unique)
+    for t, c in [*_each(lambda k: k.unique), _TWICE]
 ]))
 QUERIES["dq_not_null"] = (dq_not_null, _union([
     f"{_head(t, c)}, count(*) AS n_records FROM {t} WHERE \"{c}\" IS NULL HAVING count(*) > 0"
@@ -125,6 +133,15 @@ QUERIES["dq_unique_combination"] = (dq_unique_combination, _union([
     for t, p in _each(lambda k: k.unique_combination)
 ]))
 
+def _all_expenses(w: Warehouse) -> DataFrame:
+    """Parsed expenses before staging drops the ones that are not above zero."""
+    given = [F.col(c) for c in ("Date_of_Expense", "Expense_Category", "Amount_KES", "Timestamp")]
+    return w.raw("expenses_raw").select(
+        fn.surrogate_key(*given).alias("expense_id"), fn.parse_form_date(given[0]).alias("expense_date"),
+        given[1].alias("expense_category"), fn.parse_form_number(given[2]).alias("amount"),
+    )
+
+
 _LATEST = (
     "SELECT product_key, first(unit_cost ORDER BY purchase_date DESC, submitted_at DESC NULLS LAST, unit_cost DESC) "
     "AS latest_cost_price FROM stg_inventory_purchases GROUP BY product_key"
@@ -140,8 +157,10 @@ _RULES = {
         f"SELECT sale_id, sale_date, salesperson_name, product_key FROM stg_sales WHERE sale_date > DATE '{CHECK_DAY}'",
     ),
     "dq_no_negative_expenses": (
-        lambda w: quality.no_negative_expenses(w.staging("stg_expenses")),
-        "SELECT expense_id, expense_date, expense_category, amount FROM stg_expenses WHERE amount <= 0",
+        lambda w: quality.no_negative_expenses(_all_expenses(w)),
+        f"""SELECT * FROM (SELECT {sql.md5_key('"Date_of_Expense"', "Expense_Category", "Amount_KES", '"Timestamp"')} AS expense_id,
+        {sql.date('Date_of_Expense')} AS expense_date, Expense_Category AS expense_category,
+        {sql.number('Amount_KES')} AS amount FROM expenses_raw) WHERE amount <= 0""",
     ),
     "dq_no_negative_return_value": (
         lambda w: quality.no_negative_return_value(w.staging("stg_returns")),
@@ -201,8 +220,10 @@ def _suite_sql() -> str:
         "dq_sale_price_above_cost": ("stg_sales", "unit_price"),
         "dq_stock_never_negative": ("inventory_position", "stock_on_hand"),
     }
+    where_sql = {"dq_no_negative_expenses": "SELECT 1 FROM stg_expenses WHERE amount <= 0"}  # the suite reads stored tables
     parts += [
-        row(t, name.removeprefix("dq_"), c, f"SELECT count(*) FROM ({_RULES[name][1]})") for name, (t, c) in where.items()
+        row(t, name.removeprefix("dq_"), c, f"SELECT count(*) FROM ({where_sql.get(name, _RULES[name][1])})")
+        for name, (t, c) in where.items()
     ]
     return f"SELECT *, CASE WHEN failures > 0 THEN 'warn' ELSE 'pass' END AS status FROM ({_union(parts)})"
 
@@ -220,7 +241,7 @@ def _dashboard(name: str):
 
 
 def _sums(mart: str, by: str = "", money: str = "", units: str = "", where: str = "") -> str:
-    cols = by.split() + [f"sum({c})::DECIMAL(28,2) AS {c}" for c in money.split()]
+    cols = by.split() + [f"sum({c})::DECIMAL(38,2) AS {c}" for c in money.split()]
     cols += [f"sum({c})::BIGINT AS {c}" for c in units.split()]
     sql = f"SELECT {', '.join(cols)} FROM {mart}" + (f" WHERE {where}" if where else "")
     return sql + (f" GROUP BY {', '.join(by.split())}" if by else "")
@@ -291,8 +312,8 @@ _DASH_SQL = {
     + " ORDER BY units_returned DESC, product_name LIMIT 10",
     "dash_returns_monthly": _sums("returns_analysis", "month_start", "return_value", "units_returned"),
     "dash_returns_by_category": _sums("returns_analysis", "category", "return_value"),
-    "dash_returns_vs_sales": "SELECT salesperson_name, sum(revenue)::DECIMAL(28,2) AS total_revenue, "
-    "sum(back)::DECIMAL(28,2) AS return_value FROM ("
+    "dash_returns_vs_sales": "SELECT salesperson_name, sum(revenue)::DECIMAL(38,2) AS total_revenue, "
+    "sum(back)::DECIMAL(38,2) AS return_value FROM ("
     "SELECT salesperson_name, total_revenue AS revenue, 0 AS back FROM salesperson_performance UNION ALL "
     "SELECT salesperson_name, 0, return_value FROM returns_analysis) GROUP BY salesperson_name",
     "dash_returns_table": "SELECT return_date, product_name, category, units_returned, return_value, return_reason, "
@@ -306,3 +327,45 @@ _DASH_SQL = {
 
 for _name in dashboards.QUERIES:
     QUERIES[_name] = (_dashboard(_name), _DASH_SQL[_name])
+
+# --- the date control set to several months, and the returns table with its filters ----------------------------------
+
+_SPAN = (dt.date(2000, 2, 10), REPORT_DAY)
+
+
+def _in_span(column: str) -> str:
+    return f"{column} BETWEEN DATE '2000-02-01' AND {month(_DAY)}"
+
+
+def _over_months(name: str):
+    build, inputs, _ = dashboards.QUERIES[name]
+    return lambda w: build(*(w.mart(m) for m in inputs), as_of=_SPAN)
+
+
+QUERIES |= {
+    "dash_top10_products_months": (
+        _over_months("dash_top10_products"),
+        _sums("product_performance", "product_name", "total_revenue", "", _in_span('"month"'))
+        + " ORDER BY total_revenue DESC, product_name LIMIT 10",
+    ),
+    "dash_revenue_by_category_months": (
+        _over_months("dash_revenue_by_category"),
+        _sums("product_performance", "category", "total_revenue", "", _in_span('"month"')),
+    ),
+    "dash_expense_by_category_months": (
+        _over_months("dash_expense_by_category_tm"),
+        _sums("expense_summary", "expense_category", "total_amount", "", _in_span("month_start")),
+    ),
+    "dash_salesperson_bars_months": (
+        _over_months("dash_salesperson_bars"),
+        _sums("salesperson_performance", "salesperson_name", "total_revenue", "total_transactions", _in_span('"month"')),
+    ),
+    "dash_returns_months": (
+        _over_months("dash_returns_tm"),
+        _sums("returns_analysis", "", "return_value", "units_returned", _in_span("month_start")),
+    ),
+    "dash_returns_table_filtered": (
+        lambda w: dashboards.returns_table(w.mart("returns_analysis"), reason="Defective", salesperson="SUPPLIER#000000001"),
+        _DASH_SQL["dash_returns_table"] + " WHERE return_reason = 'Defective' AND salesperson_name = 'SUPPLIER#000000001'",
+    ),
+}

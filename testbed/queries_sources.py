@@ -116,6 +116,18 @@ def src_load_all_tabs(w: Warehouse) -> DataFrame:
     return status.select("tab", "status", "rows")
 
 
+def src_load_drift(w: Warehouse) -> DataFrame:
+    """The headers that did not line up in a load, next to the rows that were stored all the same."""
+    layers = w.scratch_layers("drift")
+
+    def read(spark, path: str) -> DataFrame:
+        tab = form_tab(w, path)
+        return tab.drop("Business Unit").withColumn(" Mood ", F.lit("fine")) if path in ("Returns", "Expenses") else tab
+
+    status = load.load_all_tabs(layers, {t: t for t in TABS}, LOADED_AT, scan=read)
+    return status.select("tab", "rows", F.inline("drift"))
+
+
 def src_seed_csv(w: Warehouse) -> DataFrame:
     """The unit seed read from CSV, with the sales of each seeded unit."""
     path = w.scratch("seed_units")
@@ -191,6 +203,13 @@ QUERIES: dict = {
             for name, t, _ in _TABLES
         ),
     ),
+    "src_load_drift": (
+        src_load_drift,
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS tab, (SELECT count(*) FROM {TABS[name].table}) AS rows, '{kind}' AS kind, '{header}' AS header"
+            for name in ("Returns", "Expenses") for kind, header in (("unknown", "Mood"), ("missing", "Business Unit"))
+        ),
+    ),
     "src_seed_csv": (
         src_seed_csv,
         "SELECT unit_name, sort_order, n_sales FROM business_units LEFT JOIN "

@@ -20,7 +20,7 @@ SOME = [
 
 def test_every_query_has_sql_and_a_plain_name():
     assert registry.queries().keys() == registry.oracle_sql().keys()
-    assert dashboards.QUERIES.keys() <= registry.queries().keys() and len(registry.queries()) == 145
+    assert dashboards.QUERIES.keys() <= registry.queries().keys() and len(registry.queries()) == 152
 
 
 @needs_data

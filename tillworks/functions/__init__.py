@@ -10,10 +10,10 @@ from tillworks.functions.dates import (
 )
 from tillworks.functions.numeric import (
     MONEY,
-    MONEY_TOTAL,
     NUMBER,
     PERCENT,
     count_ratio_pct,
+    difference,
     floored_margin,
     greatest_or_zero,
     line_amount,

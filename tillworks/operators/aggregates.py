@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,9 +22,23 @@ def paid_by(method_column: str, method: str, value_column: str) -> Column:
     return sum_where(F.col(value_column), F.col(method_column) == method)
 
 
-def latest_by(value: str, *order: str) -> Column:
-    """Value of the latest row; the value itself breaks the last ties, so the result never depends on row order."""
-    return F.max_by(value, F.struct(*order, value))
+def _instant(day: str, stamp: str) -> Column:
+    """Day, then timestamp, as one number of fixed width; a missing one comes before all others."""
+    days = F.coalesce(F.datediff(F.col(day), F.lit("1970-01-01").cast("date")), F.lit(-10_000_000)).cast("decimal(10,0)")
+    micros = F.coalesce(F.unix_micros(F.col(stamp)), F.lit(-4 * 10**17)).cast("decimal(20,0)")
+    return (days * F.lit(Decimal(10**18)) + micros).cast("decimal(38,0)")
+
+
+def with_latest(df: DataFrame, keys: list[str], value: str, day: str, stamp: str, alias: str, *more: Column) -> DataFrame:
+    """The value of each key's latest row by day and timestamp, the largest of equally late ones, as ``alias``; also
+    ``last_<day>`` and the sums given in ``more``.
+
+    Ties are settled in a first aggregation; both can hash, because no buffer holds a struct.
+    """
+    once = df.groupBy(*keys, day, stamp).agg(F.max(value).alias(value), *more)
+    names = [c for c in once.columns if c not in (*keys, day, stamp, value)]
+    latest = F.max_by(value, _instant(day, stamp)).alias(alias)
+    return once.groupBy(*keys).agg(latest, F.max(day).alias(f"last_{day}"), *(F.sum(c).alias(c) for c in names))
 
 
 def cost_of_goods(sales: DataFrame, products: DataFrame, keys: Iterable[str]) -> DataFrame:

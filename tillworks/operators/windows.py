@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Rank-one row per key.
+    """Rank-one row per key."""
+    return top_per_key(df, keys, order, 1)
 
-    Spark puts a group limit below the shuffle for ``row_number() = 1``, so each task sends at most one row per key
-    and a key that holds a third of all rows still fits one task.
+
+def top_per_key(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
+    """The first ``k`` rows of each key.
+
+    Spark puts a group limit below the shuffle for ``row_number() <= k``, so each task sends at most k rows per key and a
+    key that holds a third of all rows still fits one task.
     """
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    return df.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")

@@ -12,14 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.functions import MONEY_TOTAL, as_of_date, money_sum, month_start, zero_if_null
+from tillworks.functions import MONEY, as_of_date, money_sum, month_start, zero_if_null
 from tillworks.operators.aggregates import combine
 from tillworks.operators.ordering import sort_by, top_k
 
 Day = dt.date | None
+Months = Day | tuple[dt.date, dt.date]  # the month of a day, or all from that of one day to that of another
 
 
-def this_month(mart: DataFrame, as_of: Day = None, column: str = "month") -> DataFrame:
+def this_month(mart: DataFrame, as_of: Months = None, column: str = "month") -> DataFrame:
+    if isinstance(as_of, tuple):
+        return mart.filter(F.col(column).between(*(month_start(F.lit(day)) for day in as_of)))
     return mart.filter(F.col(column) == month_start(as_of_date(as_of)))
 
 
@@ -59,7 +62,9 @@ def revenue_last_7_days(daily: DataFrame, as_of: Day = None, include_today: bool
 
 
 def today_returns(returns: DataFrame, as_of: Day = None) -> DataFrame:
-    return total(on_day(returns, "return_date", as_of), [], ["return_value"])
+    """The month is filtered too: the mart is stored by month."""
+    today = this_month(on_day(returns, "return_date", as_of), as_of, "month_start")
+    return total(today, [], ["return_value"])
 
 
 # --- 2: sales trends ----------------------------------------------------------------------------------------------
@@ -85,7 +90,7 @@ def monthly_payment_split(daily: DataFrame) -> DataFrame:
 
 def avg_by_day_of_month(daily: DataFrame) -> DataFrame:
     """Mean over the mart's (day, unit) rows."""
-    mean = F.round(F.avg("effective_revenue"), 2).cast(MONEY_TOTAL)
+    mean = F.round(F.avg("effective_revenue"), 2).cast(MONEY)
     return sort_by(daily.groupBy("day_of_month").agg(mean.alias("avg_effective_revenue")), "day_of_month")
 
 
@@ -96,7 +101,7 @@ def returns_trend(daily: DataFrame) -> DataFrame:
 # --- 3: products --------------------------------------------------------------------------------------------------
 
 
-def top10_products(products: DataFrame, as_of: Day = None) -> DataFrame:
+def top10_products(products: DataFrame, as_of: Months = None) -> DataFrame:
     revenue = total(this_month(products, as_of), ["product_name"], ["total_revenue"])
     return top_k(revenue, 10, "-total_revenue", "product_name")
 
@@ -106,12 +111,12 @@ def bottom10_products(products: DataFrame, as_of: Day = None) -> DataFrame:
     return top_k(total(sold, ["product_name"], ["total_revenue"]), 10, "total_revenue", "product_name")
 
 
-def top10_profit(products: DataFrame, as_of: Day = None) -> DataFrame:
+def top10_profit(products: DataFrame, as_of: Months = None) -> DataFrame:
     profit = total(this_month(products, as_of), ["product_name"], ["total_gross_profit"])
     return top_k(profit, 10, "-total_gross_profit", "product_name")
 
 
-def revenue_by_category(products: DataFrame, as_of: Day = None) -> DataFrame:
+def revenue_by_category(products: DataFrame, as_of: Months = None) -> DataFrame:
     return total(this_month(products, as_of), ["category"], ["total_revenue"])
 
 
@@ -144,7 +149,7 @@ def inventory_table(inventory: DataFrame) -> DataFrame:
     return inventory.select(*columns).orderBy(urgency, "product_name")
 
 
-def fast_movers(products: DataFrame, as_of: Day = None) -> DataFrame:
+def fast_movers(products: DataFrame, as_of: Months = None) -> DataFrame:
     moved = total(this_month(products, as_of), ["product_name"], units=["total_units_sold"])
     return top_k(moved, 15, "-total_units_sold", "product_name")
 
@@ -164,7 +169,7 @@ def pnl_table(profit: DataFrame) -> DataFrame:
     return sort_by(profit.select(*columns), "-month", "-gross_revenue")
 
 
-def expense_by_category(expenses: DataFrame, as_of: Day = None) -> DataFrame:
+def expense_by_category(expenses: DataFrame, as_of: Months = None) -> DataFrame:
     return total(this_month(expenses, as_of, "month_start"), ["expense_category"], ["total_amount"])
 
 
@@ -199,7 +204,7 @@ def top20_customers(customers: DataFrame, as_of: Day = None) -> DataFrame:
 # --- 7: salespeople -----------------------------------------------------------------------------------------------
 
 
-def salesperson_bars(people: DataFrame, as_of: Day = None) -> DataFrame:
+def salesperson_bars(people: DataFrame, as_of: Months = None) -> DataFrame:
     return total(this_month(people, as_of), ["salesperson_name"], ["total_revenue"], ["total_transactions"])
 
 
@@ -213,7 +218,7 @@ def salesperson_table(people: DataFrame, as_of: Day = None) -> DataFrame:
 # --- 8: returns ---------------------------------------------------------------------------------------------------
 
 
-def returns_this_month(returns: DataFrame, as_of: Day = None) -> DataFrame:
+def returns_this_month(returns: DataFrame, as_of: Months = None) -> DataFrame:
     return total(this_month(returns, as_of, "month_start"), [], ["return_value"], ["units_returned"])
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import functions as fn
-from tillworks.operators.aggregates import combine, cost_of_goods, latest_by, paid_by
+from tillworks.operators.aggregates import combine, paid_by, with_latest
 from tillworks.operators.filters import active_only, with_value
 from tillworks.operators.joins import explode_spine, left_lookup
 from tillworks.operators.sets import union_distinct, with_month_of
@@ -103,7 +103,7 @@ def _finish(df: DataFrame, name: str, zero_filled: list[str] | None = None, **de
 
 
 def _money(c: Column) -> Column:
-    return F.round(c, 2).cast(fn.MONEY_TOTAL)
+    return F.round(c, 2).cast(fn.MONEY)
 
 
 def _by_month(df: DataFrame, date: str) -> DataFrame:
@@ -189,11 +189,9 @@ def inventory_position(
     products: DataFrame, purchases: DataFrame, sales: DataFrame, returns: DataFrame
 ) -> DataFrame:
     """Current stock of each active product, derived from all movements."""
-    bought = purchases.groupBy("product_key").agg(
-        F.sum("units_purchased").alias("total_purchased"),
-        fn.money_sum(F.col("total_cost")).alias("total_purchase_cost"),
-        F.max("purchase_date").alias("last_purchase_date"),
-        latest_by("unit_cost", "purchase_date", "submitted_at").alias("latest_unit_cost"),
+    bought = with_latest(
+        purchases, ["product_key"], "unit_cost", "purchase_date", "submitted_at", "latest_unit_cost",
+        F.sum("units_purchased").alias("total_purchased"), fn.money_sum(F.col("total_cost")).alias("total_purchase_cost"),
     )
     sold = sales.groupBy("product_key").agg(
         F.sum("units_sold").alias("total_sold"),
@@ -213,6 +211,7 @@ def inventory_position(
         ["total_purchased", "total_purchase_cost", "latest_unit_cost", "total_sold", "total_revenue",
          "total_returned", "total_return_value"],
         latest_unit_cost=F.col("latest_unit_cost").cast(fn.NUMBER),
+        total_purchase_cost=F.col("total_purchase_cost").cast(fn.MONEY),
         stock_on_hand=F.col("total_purchased") - F.col("total_sold") + F.col("total_returned"),
         inventory_value_at_cost=_money(fn.total_value(stock, F.col("latest_unit_cost"))),
         inventory_value_at_retail=_money(fn.total_value(stock, F.col("selling_price"))),
@@ -308,16 +307,34 @@ def unit_performance(
     sales = _by_month(with_value(sales, "unit"), "sale_date")
     returns = _by_month(with_value(returns, "unit"), "return_date")
     expenses = _by_month(with_value(expenses, "unit"), "expense_date")
-    sold = sales.groupBy(*keys).agg(
-        F.count("*").alias("total_transactions"),
-        F.sum("units_sold").alias("total_units_sold"),
-        fn.money_sum(F.col("net_amount")).alias("total_revenue"),
-        fn.money_sum(F.col("discount_amount")).alias("total_discounts"),
-        fn.money_avg(F.sum("net_amount"), F.count("net_amount")).alias("avg_transaction_value"),
-        F.count_distinct("salesperson_name").alias("salespeople_count"),
-        F.count_distinct("sale_date").alias("active_days"),
-        F.min("sale_date").alias("first_sale_date"),
-        F.max("sale_date").alias("last_sale_date"),
+    # One pass over sales: by product for the cost, by person and as a bit per day of the month for the distinct counts.
+    per_product = sales.groupBy(*keys, "salesperson_name", "product_key").agg(
+        F.count("*").alias("n"),
+        F.count("net_amount").alias("n_net"),
+        F.sum("units_sold").alias("units"),
+        F.sum("net_amount").alias("net"),
+        F.sum("discount_amount").alias("discount"),
+        F.bit_or(F.expr("shiftleft(1L, dayofmonth(sale_date))")).alias("days"),
+        F.min("sale_date").alias("first_day"),
+        F.max("sale_date").alias("last_day"),
+    )
+    costed = left_lookup(per_product, products.select("product_key", "cost_price"), "product_key")
+    per_person = costed.groupBy(*keys, "salesperson_name").agg(
+        *(F.sum(c).alias(c) for c in ("n", "n_net", "units", "net", "discount")),
+        F.sum(fn.total_value(F.col("units"), fn.zero_if_null(F.col("cost_price")))).alias("cost"),
+        F.bit_or("days").alias("days"), F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day"),
+    )
+    sold = per_person.groupBy(*keys).agg(
+        F.sum("n").alias("total_transactions"),
+        F.sum("units").alias("total_units_sold"),
+        fn.money_sum(F.col("net")).alias("total_revenue"),
+        fn.money_sum(F.col("discount")).alias("total_discounts"),
+        fn.money_avg(F.sum("net"), F.sum("n_net")).alias("avg_transaction_value"),
+        F.count("salesperson_name").alias("salespeople_count"),
+        F.bit_count(F.bit_or("days")).cast("long").alias("active_days"),
+        F.min("first_day").alias("first_sale_date"),
+        F.max("last_day").alias("last_sale_date"),
+        fn.money_sum(F.col("cost")).alias("total_cogs"),
     )
     returned = returns.groupBy(*keys).agg(
         F.count("*").alias("total_returns_processed"),
@@ -328,8 +345,7 @@ def unit_performance(
         F.count("*").alias("total_expense_entries"),
         fn.money_sum(F.col("amount")).alias("total_expenses"),
     )
-    parts = [sold, returned, spent, cost_of_goods(sales, products, keys)]
-    activity = combine(parts, keys)
+    activity = combine([sold, returned, spent], keys)
     months = with_month_of(union_distinct(*(f.select("month") for f in (sales, returns, expenses))), as_of)
     spine = explode_spine(business_units.select(F.col("unit_name").alias("unit")), months, "month")
     dates = ("first_sale_date", "last_sale_date")
@@ -423,7 +439,7 @@ def customer_insights(sales: DataFrame, as_of: dt.date | None = None) -> DataFra
         F.count_distinct("sale_date").alias("purchase_days"),
         fn.money_sum(F.col("net_amount")).alias("total_spent"),
         fn.money_avg(F.sum("net_amount"), F.count("net_amount")).alias("avg_transaction_value"),
-        F.max("net_amount").cast(fn.MONEY_TOTAL).alias("largest_transaction"),
+        F.max("net_amount").cast(fn.MONEY).alias("largest_transaction"),
         F.sum("units_sold").alias("total_units_purchased"),
         F.min("sale_date").alias("first_purchase_date"),
         F.max("sale_date").alias("last_purchase_date"),

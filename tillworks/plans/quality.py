@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions import as_of_date
-from tillworks.operators.aggregates import latest_by
+from tillworks.operators.aggregates import with_latest
 from tillworks.operators.filters import below, later_than, not_above_zero
 from tillworks.operators.joins import orphans, with_own_shuffle
 from tillworks.operators.sets import stack
@@ -98,8 +98,8 @@ def no_negative_return_value(returns: DataFrame) -> DataFrame:
 
 
 def _latest_costs(purchases: DataFrame) -> DataFrame:
-    latest = latest_by("unit_cost", "purchase_date", "submitted_at").alias("latest_cost_price")
-    return purchases.groupBy("product_key").agg(latest)
+    latest = with_latest(purchases, ["product_key"], "unit_cost", "purchase_date", "submitted_at", "latest_cost_price")
+    return latest.select("product_key", "latest_cost_price")
 
 
 def sale_price_above_cost(sales: DataFrame, purchases: DataFrame) -> DataFrame:

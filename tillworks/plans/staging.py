@@ -64,10 +64,10 @@ def stg_products(products_raw: DataFrame) -> DataFrame:
     ]
     latest = latest_per_key(positive(parsed, "selling_price"), ["product_key"], newest_first)
     selling, cost = F.col("selling_price"), F.col("cost_price")
-    margin = F.round(selling - fn.zero_if_null(cost), 2).cast(fn.MONEY_TOTAL)
+    margin = F.round(fn.difference(selling, fn.zero_if_null(cost)), 2).cast(fn.MONEY)
     return latest.withColumns({
         "unit_margin_kes": margin,
-        "unit_margin_pct": F.when(cost.isNotNull(), fn.ratio_pct(selling - cost, selling)),
+        "unit_margin_pct": F.when(cost.isNotNull(), fn.ratio_pct(fn.difference(selling, cost), selling)),
     }).select(COLUMNS["stg_products"])
 
 

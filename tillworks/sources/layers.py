@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillworks.plans import marts, staging
@@ -42,17 +44,53 @@ class Layers:
     def mart(self, table: str) -> DataFrame:
         return self.table(MARTS_DB, table)
 
+    def _checked(self, df: DataFrame, layer: str, table: str) -> DataFrame:
+        """The table as declared: its columns in order, and no column of another type than the stored table's."""
+        declared = COLUMN_ORDER.get(table)
+        if declared and sorted(declared) != sorted(df.columns):
+            raise ValueError(f"{table}: columns {sorted(set(declared) ^ set(df.columns))} are not as declared")
+        untyped = [f.name for f in df.schema if f.dataType.typeName() == "void"]
+        if untyped:
+            raise ValueError(f"{table}: columns {untyped} have no type")
+        if declared and self.exists(layer, table):
+            stored = {f.name: f.dataType for f in self.spark.table(self.name(layer, table)).schema}
+            changed = [f.name for f in df.schema if stored.get(f.name, f.dataType) != f.dataType]
+            if changed:
+                raise ValueError(f"{table}: columns {changed} differ in type from the stored table; drop it first")
+        return df.select(declared) if declared else df
+
     def replace(self, df: DataFrame, layer: str, table: str, partition_by: str | None = None) -> None:
         """Write ``df`` as the whole new content of a table. No global sort.
 
+        The content goes to a new folder, and the table is pointed there once it is complete: a write that fails leaves
+        the table as it was. Earlier folders stay until ``drop_versions``.
+
         A partitioned table is rebalanced by its partition column first: AQE gathers a small month into one file and
         splits a large one over several tasks, instead of every task writing a file for every month.
         """
+        df = self._checked(df, layer, table)
         if partition_by:
             df = self.spark.sql(f"SELECT /*+ REBALANCE({partition_by}) */ * FROM {{df}}", df=df)
-        writer = df.write.mode("overwrite").format("parquet")
+        folder, name = f"{self._folder(layer, table)}/{uuid.uuid4().hex}", self.name(layer, table)
+        writer = df.write.partitionBy(partition_by) if partition_by else df.write
+        writer.parquet(folder)
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+        parted = f"PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {parted} LOCATION '{folder}'")
         if partition_by:
-            writer = writer.partitionBy(partition_by)
-        if self.location:
-            writer = writer.option("path", f"{self.location}/{self.prefix}{layer}/{table}")
-        writer.saveAsTable(self.name(layer, table))
+            self.spark.sql(f"MSCK REPAIR TABLE {name}")
+
+    def _folder(self, layer: str, table: str) -> str:
+        base = self.location or self.spark.conf.get("spark.sql.warehouse.dir")
+        return f"{base.rstrip('/')}/{self.prefix}{layer}/{table}"
+
+    def drop_versions(self, layer: str, table: str) -> None:
+        """Delete the folders of earlier contents. Nothing may still be reading them."""
+        current = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(layer, table)}").where("col_name = 'Location'").first()
+        jvm = self.spark._jvm
+        top = jvm.org.apache.hadoop.fs.Path(self._folder(layer, table))
+        system = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for version in system.listStatus(top):
+            if version.getPath().getName() != current.data_type.rstrip("/").rsplit("/", 1)[-1]:
+                system.delete(version.getPath(), True)

@@ -13,11 +13,11 @@ from tillworks.values import LOADED_AT, NULL_SENTINELS, SOURCE, SOURCE_LABEL, TA
 DRIFT_SCHEMA = "tab string, kind string, header string"
 
 
-def scan_tab(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = True) -> DataFrame:
+def scan_tab(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False) -> DataFrame:
     """All records of one exported tab as text; the first row of each CSV file is its header.
 
-    ``multiline`` keeps line breaks inside quoted cells together, at the price of one task per file. Turn it off for
-    very large files without such cells, or export Parquet: both are read in splits.
+    Files are read in splits. An export with line breaks inside quoted cells needs ``multiline``, which reads a file in
+    one task: it should come in several files, or as Parquet.
     """
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
