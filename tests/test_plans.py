@@ -145,6 +145,23 @@ def test_products_are_limited_per_key_before_the_shuffle(spark):
     assert sorted(r.id for r in latest.collect()) == [997, 998, 999]
 
 
+@pytest.mark.parametrize("job", ["inventory_position", "sale_price_above_cost", "suite_costs"])
+def test_latest_cost_is_hashed_not_sorted(skewed, job):
+    jobs = {
+        "inventory_position": lambda: build(skewed, "inventory_position"),
+        "sale_price_above_cost": lambda: quality.sale_price_above_cost(skewed["stg_sales"], skewed["stg_inventory_purchases"]),
+        "suite_costs": lambda: quality._sales_below_cost(skewed["stg_sales"], skewed["stg_inventory_purchases"]),
+    }
+    assert "SortAggregate" not in plan(jobs[job]())
+
+
+def test_unit_performance_reads_sales_once(skewed):
+    """Next to one scan of the columns it sums, only the dates are read again, for the months of the spine."""
+    scans = [line for line in plan(build(skewed, "unit_performance")).splitlines() if "FileScan" in line and "/stg_sales" in line]
+    assert len([line for line in scans if "net_amount" in line.split("Batched")[0]]) == 1
+    assert len([line for line in scans if "product_key" in line.split("Batched")[0]]) == 1
+
+
 def test_only_needed_columns_are_read(skewed):
     text = plan(build(skewed, "unit_performance"))
     for line in text.splitlines():

@@ -3,8 +3,10 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from rows import raw
+from pyspark.sql import functions as F
+from rows import raw, staged
 
+from tillworks.plans import marts
 from tillworks.sources import external, load, seeds, tabs
 from tillworks.sources.layers import Layers
 from tillworks.values import BUSINESS_UNITS, RAW_DB, TABS
@@ -27,7 +29,7 @@ def export(path, headers, *rows):
 
 def test_scan_keeps_text_and_line_breaks(spark, tmp_path):
     path = export(tmp_path / "t", ["Timestamp", "Notes"], ["007", ' two\nlines, and a "" quote '], ["", "nan"])
-    rows = tabs.scan_tab(spark, path).collect()
+    rows = tabs.scan_tab(spark, path, multiline=True).collect()
     assert [tuple(r) for r in rows] == [("007", ' two\nlines, and a " quote '), (None, "nan")]
 
 
@@ -115,3 +117,29 @@ def test_external_tab_reads_live(layers, tmp_path):
         external.create_external_tab(layers, "expenses_raw", path, TABS["Expenses"].columns)
     assert layers.raw("expenses_raw").columns == TABS["Expenses"].columns
     assert layers.raw("expenses_raw").count() == 1
+
+
+def test_a_failed_write_keeps_the_old_table(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "kept"), "kept_")
+    rows = spark.createDataFrame([(1,), (2,)], "a int")
+    layers.replace(rows, "retail_raw", "some_raw")
+    broken = rows.select(F.when(F.col("a") == 2, F.raise_error(F.lit("broken"))).otherwise(F.col("a")).cast("int").alias("a"))
+    with pytest.raises(Exception, match="broken"):
+        layers.replace(broken, "retail_raw", "some_raw")
+    assert sorted(r.a for r in layers.raw("some_raw").collect()) == [1, 2]
+    layers.replace(rows.limit(1), "retail_raw", "some_raw")
+    layers.drop_versions("retail_raw", "some_raw")
+    assert layers.raw("some_raw").count() == 1
+    assert len([p for p in (tmp_path / "kept" / "kept_retail_raw" / "some_raw").iterdir()]) == 1
+
+
+def test_a_table_keeps_its_declared_columns_and_types(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "typed"), "typed_")
+    summary = marts.expense_summary(staged(spark, "stg_expenses"))
+    layers.replace(summary, "retail_marts", "expense_summary", "month_start")
+    with pytest.raises(ValueError, match="total_amount"):
+        layers.replace(summary.withColumn("total_amount", F.col("total_amount").cast("decimal(20,2)")), "retail_marts", "expense_summary")
+    with pytest.raises(ValueError, match="month_start"):
+        layers.replace(summary.drop("month_start"), "retail_marts", "expense_summary")
+    with pytest.raises(ValueError, match="no type"):
+        layers.replace(spark.sql("SELECT NULL AS a"), "retail_raw", "void_raw")
