@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.arrow_text import Hasher, slices, spans_of
+from tillworks.llm.storage import stored
 
 SYMBOLS = 64  # 0 none, 1-26 letters, 27-36 digits, 37 and 38 end marks, 40-63 other letters
 START, END = 37, 38
@@ -227,7 +228,7 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
     chosen = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic in (0, 1)")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
     sample = docs.select("doc_id", F.lower("text").alias("text")).join(F.broadcast(chosen), "doc_id")
-    sample = sample.select("text", F.col("toxic").cast("long").alias("toxic"))
+    sample = stored(sample.select("text", F.col("toxic").cast("long").alias("toxic")), "labelled-documents")
     sizes = {int(r.toxic): r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rate = (sizes.get(1, 0) + 0.5) / (sum(sizes.values()) + 1)
     constant = Model(np.zeros(SYMBOLS**3), -1.0, np.array([0, 0, 0, 0, 0, 0, np.log(rate / (1 - rate))]))
@@ -235,7 +236,7 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
         return constant
 
     counted = sample.mapInArrow(_count_words(), "word binary, n_toxic long, n_other long")
-    counted = counted.groupBy("word").agg(F.sum("n_toxic").alias("t"), F.sum("n_other").alias("o"))
+    counted = stored(counted.groupBy("word").agg(F.sum("n_toxic").alias("t"), F.sum("n_other").alias("o")), "labelled-words")
     share = F.lit(sizes[1] / (sizes[0] + sizes[1]))
     n = F.col("t") + F.col("o")
 
