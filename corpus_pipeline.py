@@ -34,7 +34,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packed rows of token ids; the same rows lie in binary files."""
-    return packing.packed(docs, with_ids=True)
+    return packing.with_ids(packing.packed(docs))
 
 
 STAGES = [

@@ -163,10 +163,10 @@ def test_packed_ids_give_the_texts_back(spark, tmp_path):
     odd = ["a  b", " lead", "tail ", "\n \n x", "tabs\t \t and  spaces", "ünï 漢字 🙂", "x" * 5000, "word " * 3000, "  ", "\x1c \x1d y"]
     docs = [(i, t, 1) for i, t in enumerate(odd)] + [(None, None, 1), (50, "", 1), (50, "", 1), (51, "same", 1), (51, "same", 1)]
     df = table(spark, tmp_path, docs, "doc_id long, text string, row_id int")
-    rows = packing.packed(df, width=256, buffer=4096, with_ids=True)
+    rows = packing.packed(df, width=256, buffer=4096)
     back = Counter((r.doc_id, r.text) for r in packing.unpacked(rows, width=256).collect())
     assert back == Counter((i, t or "") for i, t, _ in docs)
-    for r in rows.collect():
+    for r in packing.with_ids(rows, 256).collect():
         system, path = open_folder(r.file)
         with system.open_input_stream(path) as f:
             matrix, sums, resets = packing.read_file(f.read(), r.n_rows, 256)

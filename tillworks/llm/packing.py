@@ -142,15 +142,15 @@ def positions(cumulative: np.ndarray, width: int) -> np.ndarray:
 _FIELDS = {
     "file": pa.string(), "row": pa.int32(), "n_rows": pa.int32(), "cu_seqlens": pa.list_(pa.int32()),
     "row_ids": pa.list_(pa.int64()), "doc_ids": pa.list_(pa.int64()), "piece": pa.list_(pa.int32()),
-    "pieces": pa.list_(pa.int32()), "ids_crc32": pa.list_(pa.int64()), "ids": pa.list_(pa.int32()),
+    "pieces": pa.list_(pa.int32()), "ids_crc32": pa.list_(pa.int64()),
 }
 _PACKED = (
     "file string, row int, n_rows int, cu_seqlens array<int>, row_ids array<long>, doc_ids array<long>, piece array<int>, "
-    "pieces array<int>, ids_crc32 array<long>, ids array<int>"
+    "pieces array<int>, ids_crc32 array<long>"
 )
 
 
-def _packer(folder: str, tokenizer: str, end: int, width: int, buffer: int, with_ids: bool):
+def _packer(folder: str, tokenizer: str, end: int, width: int, buffer: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, task = Encoder(tokenizer), TaskContext.get()
         system, base = open_folder(folder)
@@ -175,7 +175,6 @@ def _packer(folder: str, tokenizer: str, end: int, width: int, buffer: int, with
                 [np.append(0, np.cumsum(x)) for x in lengths],
                 *([[p[c] for p in row] for row in picked] for c in range(4)),
                 [[zlib.crc32(p[4].tobytes()) for p in row] for row in picked],
-                list(matrix.astype(np.int32)) if with_ids else [None] * len(rows),
             ]
             pieces.clear()
             held, written = 0, written + 1
@@ -198,19 +197,35 @@ def _packer(folder: str, tokenizer: str, end: int, width: int, buffer: int, with
 
 def packed(
     docs: DataFrame, tokenizer: str = TOKENIZER, end: int = END, width: int = WIDTH, buffer: int = BUFFER,
-    with_ids: bool = False, folder: str | None = None,
+    folder: str | None = None,
 ) -> DataFrame:
     """Write the matrices of all rows of a table with ``doc_id`` and ``text``; return one row for each packed row.
 
     ``file`` and ``row`` say where it is, ``cu_seqlens`` where its segments begin and end. ``row_ids`` (of the table's scan),
-    ``doc_ids``, ``piece`` (from 0), ``pieces`` and ``ids_crc32`` describe each segment; ``ids`` repeats the whole row if
-    ``with_ids``. Every row has at least its end id, also with a null or empty text. A text of any length is kept whole;
+    ``doc_ids``, ``piece`` (from 0), ``pieces`` and ``ids_crc32`` describe each segment. Every row has at least its end id, also with a null or empty text. A text of any length is kept whole;
     repeated rows are packed as often as they come. Further columns are ignored. An empty table gives no row and no file.
     ``tokenizer`` is a file of ranks that every executor has at that path, with ids and ``end`` below 65,536.
     """
     folder = folder or scratch(docs.sparkSession, "token-ids")
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long"), "text")
-    return stored(source.mapInArrow(_packer(folder, tokenizer, end, width, buffer, with_ids), _PACKED), "packed")
+    return stored(source.mapInArrow(_packer(folder, tokenizer, end, width, buffer), _PACKED), "packed")
+
+
+def with_ids(rows: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Packed rows with their ``ids``, read back from the files one matrix at a time."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = matrix = None
+        for batch in batches:
+            for k, (file, row, n_rows) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("file", "row", "n_rows")))):
+                if file != held:
+                    system, path = open_folder(file)
+                    with system.open_input_stream(path) as source:
+                        matrix, held = read_file(source.read(), n_rows, width)[0], file
+                ids = pa.array([matrix[row].astype(np.int32)], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(k, 1).columns, ids], [*batch.schema.names, "ids"])
+
+    return rows.mapInArrow(run, f"{_PACKED}, ids array<int>")
 
 
 def segments(rows: DataFrame) -> DataFrame:
