@@ -145,16 +145,31 @@ def test_products_are_limited_per_key_before_the_shuffle(spark):
     assert sorted(r.id for r in latest.collect()) == [997, 998, 999]
 
 
-@pytest.mark.parametrize("job", ["inventory_position", "sale_price_above_cost", "suite_costs"])
+@pytest.mark.parametrize("job", ["inventory_position", "sale_price_above_cost"])
 def test_latest_cost_is_hashed_not_sorted(skewed, job):
     jobs = {
         "inventory_position": lambda: build(skewed, "inventory_position"),
         "sale_price_above_cost": lambda: quality.sale_price_above_cost(skewed["stg_sales"], skewed["stg_inventory_purchases"]),
-        "suite_costs": lambda: quality._sales_below_cost(skewed["stg_sales"], skewed["stg_inventory_purchases"]),
     }
     assert "SortAggregate" not in plan(jobs[job]())
 
 
+def suite(skewed):
+    return quality.suite_summary(lambda t: skewed[t] if t in skewed else build(skewed, t), dt.date(2025, 6, 1))
+
+
+def test_the_suite_reads_each_fact_twice(spark, skewed, tmp_path):
+    """Once for the checks on rows, products and prices, once for its unique key; purchases once more for the costs."""
+    stored = dict(skewed)
+    for mart in marts.BUILDERS:
+        build(skewed, mart).write.parquet(f"{tmp_path}/{mart}")
+        stored[mart] = spark.read.parquet(f"{tmp_path}/{mart}")
+    text = plan(suite(stored))
+    assert "SortAggregate" not in text
+    for fact, most in (("stg_sales", 2), ("stg_returns", 2), ("stg_expenses", 2), ("stg_inventory_purchases", 3)):
+        assert len([line for line in text.splitlines() if "FileScan" in line and f"/{fact}]" in line]) == most, fact
+
+
 def test_unit_performance_reads_sales_once(skewed):
     """Next to one scan of the columns it sums, only the dates are read again, for the months of the spine."""
     scans = [line for line in plan(build(skewed, "unit_performance")).splitlines() if "FileScan" in line and "/stg_sales" in line]

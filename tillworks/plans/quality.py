@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tillworks.functions import as_of_date
 from tillworks.operators.aggregates import with_latest
 from tillworks.operators.filters import below, later_than, not_above_zero
-from tillworks.operators.joins import orphans, with_own_shuffle
+from tillworks.operators.joins import left_lookup, orphans, with_own_shuffle
 from tillworks.operators.sets import stack
 from tillworks.values import (
     BUSINESS_UNITS,
@@ -111,12 +111,6 @@ def sale_price_above_cost(sales: DataFrame, purchases: DataFrame) -> DataFrame:
     )
 
 
-def _sales_below_cost(sales: DataFrame, purchases: DataFrame) -> DataFrame:
-    """The same as counts per product and price, for which sales are summed before they are joined."""
-    prices = sales.groupBy("product_key", "unit_price").agg(F.count("*").alias("n_records"))
-    return below(prices.join(_latest_costs(purchases), "product_key"), "unit_price", "latest_cost_price")
-
-
 def stock_never_negative(inventory: DataFrame) -> DataFrame:
     return inventory.filter("stock_on_hand < 0").select("product_key", "product_name", "stock_on_hand")
 
@@ -207,25 +201,37 @@ def _row_rules(as_of: Column) -> dict[str, list[tuple[str, str, Column]]]:
 
 
 def _row_checks(
-    df: DataFrame, table: str, checks: TableChecks, rules: list[tuple[str, str, Column]]
+    df: DataFrame, table: str, checks: TableChecks, rules: list[tuple[str, str, Column]],
+    products: DataFrame | None = None, costs: DataFrame | None = None,
 ) -> DataFrame | None:
     """All checks of a table that look at one row at a time, from one pass over it.
 
-    The table is first reduced to its combinations of accepted-value columns, which clean data has few of; violating
-    rows are summed and strange values counted on those.
+    The table is first reduced to its combinations of accepted-value columns, product and price. Violating rows are
+    summed and strange values counted on those, and only those are joined with products and latest costs.
     """
     violated = [("not_null", c, F.col(c).isNull()) for c in checks.not_null] + rules
     if not violated and not checks.accepted:
         return None
     names = [f"rows_{i}" for i in range(len(violated))]
-    profile = df.groupBy(*(c for c, _ in checks.accepted)).agg(
+    keys = [c for c, _ in checks.accepted]
+    keys += ["product_key"] * (products is not None) + ["unit_price"] * (costs is not None)
+    profile = df.groupBy(*keys).agg(
         F.count("*").alias("n_records"), *(F.count_if(bad).alias(n) for n, (_, _, bad) in zip(names, violated))
     )
+    joined: list[tuple[str, str, Column]] = []
+    if products is not None:
+        profile = left_lookup(profile, products.select("product_key", F.lit(True).alias("known")), "product_key")
+        joined.append(("relationships", "product_key", F.col("known").isNull() & F.col("product_key").isNotNull()))
+    if costs is not None:
+        profile = left_lookup(profile, costs, "product_key")
+        joined.append(("sale_price_above_cost", "unit_price", F.col("unit_price") < F.col("latest_cost_price")))
+    lost = [F.coalesce(F.sum(F.when(bad, F.col("n_records"))), F.lit(0)).alias(check) for check, _, bad in joined]
     failures = profile.agg(
-        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names),
+        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names), *lost,
         *(F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(f"odd_{c}") for c, values in checks.accepted),
     )
     rows = [F.struct(*_result(table, check, c, F.col(n))) for n, (check, c, _) in zip(names, violated)]
+    rows += [F.struct(*_result(table, check, c, F.col(check))) for check, c, _ in joined]
     rows += [F.struct(*_result(table, "accepted_values", c, F.col(f"odd_{c}"))) for c, _ in checks.accepted]
     return failures.select(F.inline(F.array(*rows)))
 
@@ -255,17 +261,14 @@ def suite_summary(read: Callable[[str], DataFrame], as_of: dt.date | None = None
     tables = {table: read(table) for table in DECLARED}
     for table, checks in DECLARED.items():
         df = tables[table]
-        row_checks = _row_checks(df, table, checks, rules.get(table, []))
+        products = tables["stg_products"] if checks.has_product else None
+        costs = _latest_costs(tables["stg_inventory_purchases"]) if table == "stg_sales" else None
+        row_checks = _row_checks(df, table, checks, rules.get(table, []), products, costs)
         results += [row_checks] if row_checks is not None else []
         results += [_counted(unique(df, c), table, "unique", c) for c in checks.unique]
         results += [
             _counted(unique_combination(df, list(cs)), table, "unique_combination", "+".join(cs))
             for cs in checks.unique_combination
         ]
-        if checks.has_product:
-            missing = relationships(df, tables["stg_products"], "product_key")
-            results.append(_counted(missing, table, "relationships", "product_key", F.sum("n_records")))
-    too_cheap = _sales_below_cost(tables["stg_sales"], tables["stg_inventory_purchases"])
-    results.append(_counted(too_cheap, "stg_sales", "sale_price_above_cost", "unit_price", F.sum("n_records")))
     status = F.when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")
     return stack(results).select("*", status)
