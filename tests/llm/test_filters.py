@@ -86,9 +86,10 @@ def test_toxicity_of_held_out_and_disguised_words(spark, tmp_path):
 def test_kernel_table_equals_sums_over_landmarks():
     codes = toxicity._codes([b"\x01\x02\x03\x04", b"\x05\x02\x03", b"\x01\x02\x01\x02\x03"])
     used, maps = toxicity.features(codes)
-    gram = maps @ maps.T
+    gram = maps.T @ maps
+    assert np.allclose(toxicity.kernel(codes, used, maps), gram) and sorted(toxicity.spread_out(codes, 9)) == [0, 1, 2]
     for k in range(3):
-        assert np.allclose(toxicity.against(codes, toxicity._table(used, maps[k])), gram[:, k])
+        assert np.allclose(toxicity.against(codes, toxicity._table(used, maps[:, k])), gram[:, k])
 
 
 @pytest.mark.parametrize("url, host, path, rule, verdict", [

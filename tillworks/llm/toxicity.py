@@ -4,7 +4,7 @@ The strings compared are words: lower case, punctuation removed, bound by two en
 joined ("i d i o t"). Two words are alike as far as they share subsequences of three symbols; a subsequence that is
 stretched by inserted characters counts less by ``DECAY`` for each place it spans, up to ``SPAN`` places. The kernel is
 scaled by word length. Labels are those of documents, so a sentence's words are its instances: words that labelled toxic
-documents hold significantly more often are positive, words of other documents negative.
+documents hold significantly more often (copies of a text count once) are positive, words of other documents negative.
 
 Landmarks (positive and negative words) give a Nyström map of the kernel, in which a linear machine with squared hinge loss
 is trained. Its decision is a weighted sum of kernels with the landmarks, which is a sum over the word's subsequences of
@@ -29,7 +29,8 @@ SYMBOLS = 64  # 0 none, 1-26 letters, 27-36 digits, 37 and 38 end marks, 40-63 o
 START, END = 37, 38
 SPAN, DECAY = 7, 0.7
 LONGEST = 24  # longer words are read through overlapping windows
-MAX_DOCUMENTS, MAX_WORDS, LANDMARKS = 20_000, 30_000, 64
+MAX_DOCUMENTS, MAX_WORDS, MAX_TOXIC_WORDS = 20_000, 10_000, 4_000
+TOXIC_LANDMARKS, OTHER_LANDMARKS = 384, 64
 SIGNIFICANT = 20.0  # likelihood ratio statistic of a positive word
 STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 
@@ -102,31 +103,70 @@ def against(m: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def features(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the subsequences that occur in a few words, and the words' vectors over them."""
+    """Numbers of the subsequences that occur in a few words, and the words' vectors over them as columns."""
     used = np.unique(np.concatenate([number.ravel() for number, _ in _subsequences(m)]))
     used = used[used > 0]
-    out = np.zeros((len(m), len(used) + 1))
-    rows = np.arange(len(m))[:, None]
+    out = np.zeros((len(used) + 1, len(m)), np.float32)
+    words = np.arange(len(m))[:, None]
     for number, weight in _subsequences(m):
         at = np.where(number > 0, np.searchsorted(used, number), len(used))
-        np.add.at(out, (np.broadcast_to(rows, number.shape), at), weight)
-    return used, out[:, :-1] * _scale(m)[:, None]
+        np.add.at(out, (at, np.broadcast_to(words, number.shape)), weight)
+    out *= _scale(m)[None, :].astype(np.float32)
+    return used, out[:-1]
 
 
 def _table(used: np.ndarray, weights: np.ndarray) -> np.ndarray:
     out = np.zeros(SYMBOLS**3)
-    out[used] = weights
+    out[used] = weights.ravel()
     return out
 
 
+def kernel(m: np.ndarray, used: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """The kernel of words with the words whose vectors (columns over the subsequences ``used``) are given."""
+    out, step = np.zeros((len(m), columns.shape[1]), np.float32), 250
+    for first in range(0, len(m), step):
+        part = m[first : first + step]
+        for number, weight in _subsequences(part):
+            word, place = np.nonzero(number)
+            number = number[word, place]
+            at = np.minimum(np.searchsorted(used, number), len(used) - 1)
+            hit = used[at] == number
+            word, at = word[hit], at[hit]
+            if len(word):
+                starts = np.flatnonzero(np.append(True, np.diff(word)))
+                out[first + word[starts]] += weight * np.add.reduceat(columns[at], starts, axis=0)
+        out[first : first + step] *= _scale(part)[:, None].astype(np.float32)
+    return out
+
+
+def spread_out(m: np.ndarray, most: int) -> list[int]:
+    """Words that span the others best: each next one is that of which the kernel leaves most unexplained (pivoted
+    Cholesky)."""
+    left, rows, chosen = np.zeros(len(m)), [], []
+    for k in range(len(m)):
+        left[k] = (features(m[k : k + 1])[1] ** 2).sum()
+    for _ in range(min(most, len(m))):
+        k = int(np.argmax(left))
+        if left[k] < 1e-3:
+            break
+        column = against(m, _table(*features(m[k : k + 1])))
+        for row in rows:
+            column = column - row[k] * row
+        rows.append(column / np.sqrt(left[k]))
+        left = left - rows[-1] ** 2
+        chosen.append(k)
+    return chosen
+
+
 def _newton(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float) -> np.ndarray:
     """Weights of the linear machine with squared hinge loss; the last column of z is the constant."""
     v = np.zeros(z.shape[1])
     for _ in range(50):
         active = y * (z @ v) < 1
-        a = z[active] * cost[active, None]
-        new = np.linalg.solve(ridge * np.eye(len(v)) + a.T @ z[active], a.T @ y[active])
-        if np.abs(new - v).max() < 1e-9:
+        a = z[active]
+        b = a * cost[active, None].astype(np.float32)
+        new = np.linalg.solve(ridge * np.eye(len(v)) + b.T @ a, b.T.astype(float) @ y[active])
+        if np.abs(new - v).max() < 1e-6:
             break
         v = new
     return v
@@ -179,7 +219,8 @@ class Model:
 
 
 def _count_words():
-    """Each word's symbols and the number of toxic and other rows that hold it, for each run of texts."""
+    """Each word's symbols, the numbers of toxic and other rows that hold it, and for both a bit for (the hash of) the word
+    before it in each row, for each run of texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
@@ -194,8 +235,15 @@ def _count_words():
                 names, at, inverse = np.unique(name[order], return_index=True, return_inverse=True)
                 label = toxic[first + row[order]]
                 texts = [code[starts[k] : ends[k]].tobytes() for k in order[at]]
-                counts = [np.bincount(inverse, label == v, minlength=len(names)).astype(np.int64) for v in (1, 0)]
-                yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), *map(pa.array, counts)], ["word", "n_toxic", "n_other"])
+                inner = (order > 0) & (row[order - 1] == row[order])
+                bit = np.uint64(1) << (np.where(inner, name[order - 1], np.uint64(0)) >> np.uint64(58))
+                columns = [pa.array(texts, pa.binary())]
+                for v in (1, 0):
+                    before = np.zeros(len(names), np.uint64)
+                    np.bitwise_or.at(before, inverse[label == v], bit[label == v])
+                    columns.append(pa.array(np.bincount(inverse, label == v, minlength=len(names)).astype(np.int64)))
+                    columns.append(pa.array(before.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, ["word", "n_toxic", "b_toxic", "n_other", "b_other"])
 
     return run
 
@@ -212,6 +260,13 @@ def _document_features(model: Model):
     return run
 
 
+def _apart(kind: str) -> Column:
+    """The rows that hold a word, as far as different words stand before it: copies of one text count once. (An estimate
+    from 64 hash bits; where most are set, the word is too common for copies to matter.)"""
+    rows, bits = F.col(f"n_{kind}").cast("double"), F.bit_count(F.col(f"b_{kind}"))
+    return F.when(bits < 48, F.least(rows, -64 * F.log(1 - bits / F.lit(64.0)))).otherwise(rows)
+
+
 def _codes(words: list[bytes]) -> np.ndarray:
     data = np.frombuffer(b"".join(words), np.uint8)
     ends = np.cumsum([len(w) for w in words])
@@ -221,8 +276,8 @@ def _codes(words: list[bytes]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS, max_words: int = MAX_WORDS) -> Model:
     """Learn from labelled documents: ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0 or 1; null: no label).
 
-    At most ``max_documents`` labelled documents, chosen by a hash of doc_id, and ``max_words`` frequent and as many other
-    negative words are used. A doc_id with contradicting labels is toxic. Without two kinds of labels, or without any
+    At most ``max_documents`` labelled documents, chosen by a hash of doc_id, ``MAX_TOXIC_WORDS`` words of toxic ones, and
+    ``max_words`` frequent and as many other negative words are used. A doc_id with contradicting labels is toxic. Without two kinds of labels, or without any
     significant word, every document gets the share of toxic ones.
     """
     chosen = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic in (0, 1)")
@@ -235,8 +290,11 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
     if len(sizes) < 2:
         return constant
 
-    counted = sample.mapInArrow(_count_words(), "word binary, n_toxic long, n_other long")
-    counted = stored(counted.groupBy("word").agg(F.sum("n_toxic").alias("t"), F.sum("n_other").alias("o")), "labelled-words")
+    counted = sample.mapInArrow(_count_words(), "word binary, n_toxic long, b_toxic long, n_other long, b_other long")
+    counted = counted.groupBy("word").agg(
+        *(F.sum(c).alias(c) for c in ("n_toxic", "n_other")), *(F.bit_or(c).alias(c) for c in ("b_toxic", "b_other"))
+    )
+    counted = stored(counted.select("word", _apart("toxic").alias("t"), _apart("other").alias("o")), "labelled-words")
     share = F.lit(sizes[1] / (sizes[0] + sizes[1]))
     n = F.col("t") + F.col("o")
 
@@ -245,7 +303,7 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
 
     ratio = 2 * (entropy(F.col("t"), share) + entropy(F.col("o"), 1 - share)) * F.signum(F.col("t") / n - share)
     counted = counted.withColumn("ratio", ratio)
-    positive = counted.where(F.col("ratio") >= SIGNIFICANT).orderBy(F.desc("ratio"), "word").limit(500).collect()
+    positive = counted.where(F.col("ratio") >= SIGNIFICANT).orderBy(F.desc("ratio"), "word").limit(MAX_TOXIC_WORDS).collect()
     if not positive:
         return constant
     clean = counted.where((F.col("o") > 0) & (F.col("ratio") < SIGNIFICANT / 4))
@@ -254,18 +312,17 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
     common = sorted({bytes(r.word) for r in negative})
     found = [bytes(r.word) for r in positive]
 
-    order = np.random.default_rng(7).permutation(len(common))[:LANDMARKS]
-    marks = _codes(found[:LANDMARKS] + [common[k] for k in sorted(order)])
-    used, maps = features(marks)
+    order = np.random.default_rng(7).permutation(len(common))[:OTHER_LANDMARKS]
     words = _codes(found + common)
-    kernel = np.stack([against(words, _table(used, row)) for row in maps], 1)
-    values, vectors = np.linalg.eigh(maps @ maps.T)
-    large = values > 1e-6
+    marks = spread_out(words[: len(found)], TOXIC_LANDMARKS) + [len(found) + k for k in sorted(order)]
+    used, columns = features(words[marks])
+    values, vectors = np.linalg.eigh((columns.T @ columns).astype(float))
+    large = values > 1e-4
     nystroem = vectors[:, large] / np.sqrt(values[large])
-    z = np.hstack([kernel @ nystroem, np.ones((len(words), 1))])
+    z = np.hstack([kernel(words, used, columns) @ nystroem.astype(np.float32), np.ones((len(words), 1), np.float32)])
     y = np.where(np.arange(len(words)) < len(found), 1.0, -1.0)
     v = _newton(z, y, np.where(y > 0, len(common) / len(found) / 4, 1.0), 1.0)
-    model = Model(_table(used, (nystroem @ v[:-1]) @ maps), float(v[-1]), constant.logistic)
+    model = Model(_table(used, columns @ (nystroem @ v[:-1])), float(v[-1]), constant.logistic)
 
     rows = sample.mapInArrow(_document_features(model), "toxic long, x array<double>").toArrow()
     x = np.stack(rows["x"].to_numpy(zero_copy_only=False))
