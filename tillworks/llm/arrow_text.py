@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BASE = 0x9E6C63D0876A9A63
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def golden(k: int) -> np.uint64:
