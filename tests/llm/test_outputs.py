@@ -248,6 +248,40 @@ def test_scores(spark, tmp_path):
     assert sum(r.score for r in out if r.held_out) > sum(r.base_score for r in out if r.held_out)
 
 
+@pytest.mark.parametrize("head", [0, 10**6])
+def test_scores_from_tables_are_those_of_the_tree_in_memory(spark, tmp_path, head):
+    rng = random.Random(5)
+    phrases = ["a b c d", "x b c e", "b a", "x y", "y c d a b c"]
+    docs = [(i, " ".join(rng.choice([*phrases, f"r{rng.randrange(99)}"]) for _ in range(40))) for i in range(300)]
+    df = table(spark, tmp_path, docs)
+    tree, counts = suffix_tree.learn(df.where(suffix_tree.remainder(F.col("doc_id")) != 2).select("text"), depth=3)
+    assert len(tree.levels) == 3 and all(len(level.contexts) for level in tree.levels)
+    names = {r.key & (1 << 64) - 1: r.n for r in counts.collect()}
+    out = {r.doc_id: r.score - r.base_score for r in suffix_tree.scored(df, head=head).collect()}
+    assert len(names) == tree.distinct and len(out) == len(docs)
+    for i, text in docs:
+        words, at = suffix_tree.words_of(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), suffix_tree.Hasher())
+        ids = suffix_tree._find(tree.words, words)
+        assert abs(tree.gains(ids, tree.states(ids, at)).sum() / math.log(10) - out[i]) < 1e-6
+
+
+def test_contexts_need_no_share_of_a_large_corpus(spark, tmp_path):
+    """Twelve occurrences make a state among 400,000 tokens (a share of 3e-5), also of three words."""
+    rng = random.Random(6)
+    docs = [[f"w{rng.randrange(2000)}" for _ in range(1000)] for _ in range(400)]
+    for words in docs[:14]:
+        words[500:502] = ["pure", "quartz"]
+    for words in docs[20:120]:
+        words[300:304] = rng.choice([["one", "thin", "red", "line"], ["two", "thin", "red", "stones"]])
+    for words in docs[130:230]:
+        words[300:302] = ["red", "apples"]
+    rows = [(7 * i, " ".join(words)) for i, words in enumerate(docs)] + [(-1, "pure quartz"), (-2, "one thin red line"), (-3, "two thin red line")]
+    out = {r.doc_id: r for r in suffix_tree.scored(table(spark, tmp_path, rows)).collect()}
+    assert out[-1].train_tokens > 300_000
+    assert out[-1].score > out[-1].base_score + 1
+    assert out[-2].score - out[-2].base_score > out[-3].score - out[-3].base_score + 0.3
+
+
 def test_empty_tables(spark, tmp_path):
     empty = table(spark, tmp_path, [])
     assert suffix_tree.scored(empty).count() == 0

@@ -1,35 +1,46 @@
 """Scores of texts by a probabilistic suffix tree over words.
 
-Symbols are words in ASCII lower case and one end of text. A context of up to two words becomes a state if it is frequent
-and some next symbols diverge from what its parent state (the context without its first word) predicts; each such symbol
-gets a probability of its own, smoothed towards the parent, and all others share the rest as under the parent. The root is
-the add-one unigram distribution over all training words. A token is scored in the longest state its context ends with.
-
-Everything is counted over all training texts. The states, and the words that may occur in them, have least shares of all
-tokens (``STATE_SHARE``, ``WORD_SHARE``), so there are at most as many as the inverse shares allow, however large the
-corpus is, and they can be sent to all tasks. Counts of rarer words, which only the root needs, are joined.
+Symbols are words in ASCII lower case and one end of text. A context of up to ``DEPTH`` words becomes a state if it is
+frequent and some next symbols diverge from what its parent state (the context without its first word) predicts; each such
+symbol gets a probability of its own, smoothed towards the parent, and all others share the rest as under the parent. The
+root is the add-one unigram distribution over all training words. A token is scored in the longest state its context ends
+with.
+
+Everything is counted over all training texts. How often a context or a symbol has to occur does not grow with the corpus
+beyond ``LEAST_STATE`` and ``LEAST_SYMBOL``, so the tree grows with it: levels, states and symbols are stored tables, built by
+joins. The logarithm of a token's probability is a sum of weights, one for each state that its context ends with and one for
+each of them that has the symbol as its own; so a text's score is the sum of the weights of its distinct keys, which are
+joined with the table of weights. A bounded number of the most frequent words and weights is sent to all tasks instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.llm.arrow_text import Hasher, lower_ascii, slices, spans_of
+from tillworks.llm.arrow_text import Hasher, golden, lower_ascii, mix, slices, spans_of
+from tillworks.llm.bits import BitFilter
 from tillworks.llm.storage import stored
 
-WORD_SHARE = 1e-6  # at most a million words have ids
-STATE_SHARE = 5e-5  # at most 20,000 contexts of each length
+DEPTH = 3  # words of the longest context
+WORD_SHARE, LEAST_SYMBOL = 1e-6, 4  # share of all tokens that a state's symbol needs, and the count that is always enough
+STATE_SHARE, LEAST_STATE = 5e-5, 10  # the same for a context
+HEAD = 1_000_000  # words, and weights, that are sent to all tasks; at most a quarter of them
+FILTER_BITS = 26  # 8 MB
 SIGNIFICANT = 10.0  # n ln(n / expected) of a diverging symbol
 LEAST_DIVERGENCE = 1e-3  # of a state, in nats
 PRIOR = 20.0  # weight of the parent's distribution, in tokens
 END = np.uint64(0x5EEDE27D0C5EA1ED)
 HELD = 2_000_000  # distinct numbers that a task holds before it passes them on
+ID_BITS = 20  # of a frequent word's number
+HASHED = np.uint64(1 << 63)  # set in all other numbers of words and grams
+STATE = np.uint64(1 << 62)  # tells a state's key from that of the gram of the same words
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
@@ -221,15 +232,21 @@ def _grown(tree: Tree, level: Level, pairs: np.ndarray, n: np.ndarray, significa
     return Level(level.contexts[used], level.counts[used], state * wide + symbol, np.log(chance), spare)
 
 
+def _words(texts: DataFrame) -> tuple[DataFrame, int, int]:
+    """Stored counts ``n`` of all word hashes ``key``, and the numbers of tokens and of words."""
+    counts = texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "word-counts")
+    return counts, *(int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
+
+
 def learn(
     texts: DataFrame, depth: int = 2, word_share: float = WORD_SHARE, state_share: float = STATE_SHARE,
     significant: float = SIGNIFICANT, divergence: float = LEAST_DIVERGENCE,
 ) -> tuple[Tree, DataFrame]:
-    """The tree of a stored table with ``text``, and the stored counts ``n`` of all word hashes ``key``."""
+    """The tree of a small stored table with ``text`` in the driver's memory, and the stored counts ``n`` of all word hashes
+    ``key``. Its least counts are shares of all tokens. ``scored`` makes the same tree as tables."""
     spark = texts.sparkSession
-    counts = texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "word-counts")
-    tokens, distinct = (int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
+    counts, tokens, distinct = _words(texts)
     tree = Tree(*_frequent(counts, max(word_share * tokens, 1)), tokens, distinct)
     least = max(state_share * tokens, 2)
     for k in range(1, depth + 1):
@@ -249,33 +266,222 @@ def learn(
     return tree, counts
 
 
-def _scorer(shared):
+def _search(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """As ``_find``, for many keys in a long array: in the order of the keys, which spares the cache."""
+    order = np.argsort(keys)
+    out = np.empty(len(keys), np.int64)
+    out[order] = _find(sorted_keys, keys[order])
+    return out
+
+
+def _coded(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Numbers of words: one more than the id of a frequent word, else the hash."""
+    return np.where(ids >= 0, (ids + 1).astype(np.uint64), words | HASHED)
+
+
+def _gram(context: np.ndarray, up: np.ndarray, k: int) -> np.ndarray:
+    """Number of k + 1 words from those of the first k and the last k: frequent words' numbers side by side, else a hash."""
+    hashed = mix(mix(context + golden(k)) + up) | HASHED
+    if (k + 1) * ID_BITS >= 62:
+        return hashed
+    packed = (context << np.uint64(ID_BITS)) | (up & np.uint64((1 << ID_BITS) - 1))
+    return np.where((context | up) < HASHED, packed, hashed)
+
+
+def _grams(codes: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each context length up to ``depth``: the tokens that have such a context in their row, and for all tokens the
+    numbers of context, last words and both (right for these tokens only)."""
+    place = np.arange(len(codes)) - np.repeat(offsets[:-1], np.diff(offsets))
+    up = codes
+    for k in range(1, depth + 1):
+        context = np.append(up[:1], up[:-1])
+        gram = _gram(context, up, k)
+        yield np.flatnonzero(place >= k), context, up, gram
+        up = gram
+
+
+class GramTally(Tally):
+    """Counts of grams with their context and last words."""
+
+    def __init__(self, k: int) -> None:
+        super().__init__()
+        self.k, self.parts = k, []
+
+    def take(self, context: np.ndarray, up: np.ndarray, gram: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key, first, n = np.unique(gram, return_index=True, return_counts=True)
+        self.parts.append((key, context[first], up[first], n))
+        self.size += len(key)
+        if self.size > HELD:
+            self._merge()
+            if self.size > HELD // 2:
+                yield from self.rest()
+
+    def _merge(self) -> None:
+        gram, context, up, n = (np.concatenate(x) for x in zip(*self.parts))
+        key, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
+        self.parts = [(key, context[first], up[first], np.bincount(inverse, n, len(key)).astype(np.int64))]
+        self.size = len(key)
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            self._merge()
+            _, context, up, n = self.parts[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(context.view(np.int64)), pa.array(up.view(np.int64)), pa.array(n)], ["context", "up", "n"])
+        self.parts, self.size = [], 0
+
+
+def _count_grams(shared, contexts, k: int):
+    """Counts of (context, last k words) of all tokens whose k words before them may be a frequent context."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, members, tally = shared.value[0], contexts.value, GramTally(k)
+        for _, _, words, offsets in _texts(batches):
+            for inside, context, up, gram in _grams(_coded(words, _search(frequent, words)), offsets, k):
+                pass
+            used = inside[members.holds(context[inside])]
+            yield from tally.take(context[used], up[used], gram[used])
+        yield from tally.rest()
+
+    return run
+
+
+def _name_words(shared):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("key").to_numpy().view(np.uint64)
+            code = _coded(words, _search(shared.value[0], words))
+            yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), batch.column("n")], ["gram", "n"])
+
+    return run
+
+
+def _name_grams(k: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            context, up = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "up"))
+            gram = pa.array(_gram(context, up, k).view(np.int64))
+            yield pa.RecordBatch.from_arrays([gram, *(batch.column(c) for c in ("context", "up", "n"))], ["gram", "context", "up", "n"])
+
+    return run
+
+
+def _head(df: DataFrame, most: int = HEAD) -> int:
+    """The least ``n`` that at most ``most`` rows, and a quarter of them, reach."""
+    sizes = sorted(((r.n, r.rows) for r in df.groupBy("n").agg(F.count("*").alias("rows")).collect()), reverse=True)
+    most, held, least = min(most, sum(rows for _, rows in sizes) // 4), 0, 1 + max((n for n, _ in sizes), default=0)
+    for n, rows in sizes:
+        if (held := held + rows) > most:
+            break
+        least = n
+    return least
+
+
+def weights(
+    texts: DataFrame, depth: int = DEPTH, state_share: float = STATE_SHARE, least_state: float = LEAST_STATE,
+    word_share: float = WORD_SHARE, least_symbol: float = LEAST_SYMBOL, significant: float = SIGNIFICANT,
+    divergence: float = LEAST_DIVERGENCE, head: int = HEAD,
+) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray], int, int]:
+    """The tree of a stored table with ``text`` as a stored table of weights (natural logarithms), the frequent words with
+    their counts, and the numbers of tokens and of words.
+
+    ``key`` is a state (``weight``: the factor on what its parent gives to all but its own symbols), a gram of a state and
+    one of its own symbols (what the symbol has beyond that) or a rare word (``word``; what it has beyond an unseen word).
+    ``n`` is how often it occurs. A context needs a share of all tokens, but never more than ``least_state`` of them; so do
+    symbols of states.
+    """
+    spark = texts.sparkSession
+    counts, tokens, distinct = _words(texts)
+    frequent = _frequent(counts, _head(counts, head))
+    shared = spark.sparkContext.broadcast(frequent)
+    least_state, least_symbol = (
+        max(min(share * tokens, least), 2) for share, least in ((state_share, least_state), (word_share, least_symbol))
+    )
+    unseen = float(tokens + distinct + 1)
+    lower = counts.mapInArrow(_name_words(shared), "gram long, n long").withColumn("chance", F.log((F.col("n") + 1) / F.lit(unseen)))
+    lower = stored(lower, "words")
+    rare = lower.where("gram < 0")
+    out = [rare.select(F.col("gram").alias("key"), (F.col("chance") + float(np.log(unseen))).alias("weight"), "n", F.lit(True).alias("word"))]
+    grams = lower
+    for k in range(1, depth + 1):
+        contexts = grams.where(F.col("n") >= least_state).select(F.col("gram").alias("context"), F.col("n").alias("total"))
+        members = BitFilter.gather(contexts, "context", FILTER_BITS)
+        if not members.words.any():
+            break
+        counted = texts.mapInArrow(_count_grams(shared, spark.sparkContext.broadcast(members), k), "context long, up long, n long")
+        counted = counted.groupBy("context", "up").agg(F.sum("n").alias("n")).where(F.col("n") >= least_symbol)
+        counted = counted.mapInArrow(_name_grams(k), "gram long, context long, up long, n long")
+        above = lower.select(F.col("gram").alias("up"), F.col("chance").alias("expected"))  # none: the parent is no state
+        grams = counted.join(contexts, "context").join(above, "up", "left").drop("up")
+        grams = grams.withColumn("gain", F.log(F.col("n") / F.col("total")) - F.col("expected"))
+        grams = stored(grams.withColumn("own", F.col("n") * F.col("gain") >= significant), f"grams-{k}")
+        chance = (F.col("n") + PRIOR * F.exp("expected")) / (F.col("total") + PRIOR)
+        states = grams.where("own").groupBy("context").agg(
+            F.max("total").alias("n"), F.sum(F.col("n") / F.col("total") * F.col("gain")).alias("spread"),
+            F.log(F.greatest(1 - F.sum(chance), F.lit(1e-12)) / F.greatest(1 - F.sum(F.exp("expected")), F.lit(1e-12))).alias("spare"),
+        )
+        states = stored(states.where(F.col("spread") >= divergence).drop("spread"), f"states-{k}")
+        inside = grams.where("expected is not null").join(states.select("context", "spare"), "context")
+        inside = inside.withColumn("others", F.col("expected") + F.col("spare"))
+        inside = inside.withColumn("chance", F.when(F.col("own"), F.log(chance)).otherwise(F.col("others")))
+        lower = stored(inside.select("gram", "n", "own", "others", "chance"), f"level-{k}")
+        salted = F.col("context").bitwiseXOR(F.lit(int(STATE)))
+        own = lower.where("own")
+        out.append(states.select(salted.alias("key"), F.col("spare").alias("weight"), "n", F.lit(False).alias("word")))
+        out.append(own.select(F.col("gram").alias("key"), (F.col("chance") - F.col("others")).alias("weight"), "n", F.lit(False).alias("word")))
+    return stored(reduce(DataFrame.unionByName, out), "weights"), frequent, tokens, distinct
+
+
+def _scorer(shared, depth: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, hasher = Tree.of(shared.value), Hasher()
+        (frequent, counts, unseen), (heads, head_weights), members = shared.value
+        hasher = Hasher()
         for batch in batches:
             for first, data, offsets in slices(batch.column("text")):
                 words, at = words_of(data, offsets, hasher)
                 n = len(at) - 1
                 row = np.repeat(np.arange(n), np.diff(at))
-                ids = _find(tree.words, words)
+                ids = _search(frequent, words)
                 known = ids >= 0
-                base = np.bincount(row[known], tree.root(tree.counts[ids[known]]), n) / np.log(10)
-                gain = np.bincount(row, tree.gains(ids, tree.states(ids, at)), n) / np.log(10)
-                rare, rare_row = words[~known], row[~known]
-                order = np.lexsort((rare, rare_row))
-                rare, rare_row = rare[order], rare_row[order]
-                new = np.append(True, (np.diff(rare) != 0) | (np.diff(rare_row) != 0))[: len(rare)]
-                lists = np.append(0, np.cumsum(np.bincount(rare_row[new], minlength=n)))
-                times = np.diff(np.append(np.flatnonzero(new), len(rare)))
+                root = np.log((np.where(known, counts[ids] if len(counts) else 0, 0) + 1) / unseen)
+                codes = _coded(words, ids)
+                gain = np.zeros(len(words))
+                keys, rows = [codes[~known]], [row[~known]]
+
+                def weigh(tokens: np.ndarray, key: np.ndarray) -> np.ndarray:
+                    """Adds the weights that are at hand; tokens whose key has one or may have one in the table."""
+                    place = _search(heads, key)
+                    found = np.flatnonzero(place >= 0)
+                    gain[tokens[found]] += head_weights[place[found]]
+                    left = np.flatnonzero(place < 0)
+                    left = left[members.holds(key[left])]
+                    keys.append(key[left])
+                    rows.append(row[tokens[left]])
+                    return np.sort(tokens[np.append(found, left)])
+
+                alive = np.ones(len(words), bool)
+                for inside, context, _, gram in _grams(codes, at, depth):
+                    inside = inside[alive[inside]]
+                    inside = weigh(inside, context[inside] ^ STATE)
+                    weigh(inside, gram[inside])
+                    alive = np.zeros(len(words), bool)
+                    alive[inside] = True
+                key, key_row = np.concatenate(keys), np.concatenate(rows)
+                order = np.lexsort((key, key_row))
+                key, key_row = key[order], key_row[order]
+                new = np.append(True, (np.diff(key) != 0) | (np.diff(key_row) != 0))[: len(key)]
+                lists = np.append(0, np.cumsum(np.bincount(key_row[new], minlength=n)))
+                times = np.diff(np.append(np.flatnonzero(new), len(key)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row_id").slice(first, n), batch.column("doc_id").slice(first, n),
                         batch.column("held_out").slice(first, n), pa.array(np.diff(at)),
-                        pa.array(np.bincount(row[known], minlength=n)), pa.array(base), pa.array(gain),
-                        pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(rare[new].view(np.int64))),
+                        pa.array(np.bincount(row[known], minlength=n)), pa.array(np.bincount(row, root, n)),
+                        pa.array(np.bincount(row, gain, n)),
+                        pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(key[new].view(np.int64))),
                         pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(times)),
                     ],
-                    ["row_id", "doc_id", "held_out", "n_tokens", "n_frequent", "base", "gain", "rare", "times"],
+                    ["row_id", "doc_id", "held_out", "n_tokens", "n_frequent", "base", "gain", "keys", "times"],
                 )
 
     return run
@@ -283,7 +489,7 @@ def _scorer(shared):
 
 _SCORED = (
     "row_id long, doc_id long, held_out boolean, n_tokens long, n_frequent long, base double, gain double, "
-    "rare array<long>, times array<long>"
+    "keys array<long>, times array<long>"
 )
 
 
@@ -300,20 +506,29 @@ def scored(docs: DataFrame, **options) -> DataFrame:
     Without training text every token is unknown. An empty table gives an empty result.
     """
     held_out = F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False))
-    tree, counts = learn(docs.where(remainder(F.col("doc_id")) != 2).select("text"), **options)
-    shared = docs.sparkSession.sparkContext.broadcast(tree.parts())
+    spark = docs.sparkSession
+    depth, head = options.get("depth", DEPTH), options.get("head", HEAD)
+    table, frequent, tokens, distinct = weights(docs.where(remainder(F.col("doc_id")) != 2).select("text"), **options)
+    least = _head(table.where("not word"), head)
+    at_hand = table.where(~F.col("word") & (F.col("n") >= least)).select("key", "weight").toArrow()
+    key, weight = at_hand["key"].to_numpy().view(np.uint64), at_hand["weight"].to_numpy()
+    order = np.argsort(key)
+    table = table.where(F.col("word") | (F.col("n") < least))
+    members = BitFilter.gather(table.where("not word"), "key", FILTER_BITS)
+    shared = spark.sparkContext.broadcast(((*frequent, tokens + distinct + 1), (key[order], weight[order]), members))
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", held_out.alias("held_out"), "text")
-    rows = stored(source.mapInArrow(_scorer(shared), _SCORED), "scored-frequent")
-
-    each = rows.select("row_id", F.explode(F.arrays_zip("rare", "times")).alias("w"))
-    each = each.select("row_id", F.col("w.rare").alias("key"), F.col("w.times").alias("times")).join(counts, "key", "left")
-    count = F.coalesce("n", F.lit(0))
-    rare = each.groupBy("row_id").agg(
-        F.sum(F.when(count > 0, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.col("times") * F.log10((count + 1) / F.lit(float(tree.tokens + tree.distinct + 1)))).alias("rare_base"),
+    rows = stored(source.mapInArrow(_scorer(shared, depth), _SCORED), "scored-frequent")
+
+    each = rows.select("row_id", F.explode(F.arrays_zip("keys", "times")).alias("w"))
+    each = each.select("row_id", F.col("w.keys").alias("key"), F.col("w.times").alias("times")).join(table, "key")
+    added = F.col("times") * F.col("weight")
+    rest = each.groupBy("row_id").agg(
+        F.sum(F.when(F.col("word"), F.col("times"))).alias("known"), F.sum(F.when(F.col("word"), added)).alias("rare_base"),
+        F.sum(F.when(~F.col("word"), added)).alias("rare_gain"),
     )
-    base = F.col("base") + F.coalesce("rare_base", F.lit(0.0))
-    return rows.join(rare, "row_id", "left").select(
+    base = (F.col("base") + F.coalesce("rare_base", F.lit(0.0))) / float(np.log(10))
+    gain = (F.col("gain") + F.coalesce("rare_gain", F.lit(0.0))) / float(np.log(10))
+    return rows.join(rest, "row_id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(tree.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + F.col("gain")).alias("score"),
+        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + gain).alias("score"),
     )
