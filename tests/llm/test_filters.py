@@ -83,6 +83,14 @@ def test_toxicity_of_held_out_and_disguised_words(spark, tmp_path):
     assert {r.predicted for r in toxicity.scored(df.limit(5), labels.limit(0)).collect()} == {1}
 
 
+def test_a_model_without_evidence_rejects_nothing(spark, tmp_path):
+    rows = [(i, f"kalo mitor {i}") for i in range(40)]
+    df = table(spark, tmp_path, rows)
+    for labels in ([], [(i, None) for i in range(40)], [(i, 1) for i in range(40)], [(i, int(i % 4 > 0)) for i in range(40)]):
+        marked = spark.createDataFrame(labels, "doc_id long, toxic int")
+        assert sorted(r.doc_id for r in toxicity.without_toxic(df, marked).collect()) == list(range(40))
+
+
 def test_kernel_table_equals_sums_over_landmarks():
     codes = toxicity._codes([b"\x01\x02\x03\x04", b"\x05\x02\x03", b"\x01\x02\x01\x02\x03"])
     used, maps = toxicity.features(codes)

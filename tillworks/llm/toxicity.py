@@ -188,6 +188,7 @@ class Model:
     table: np.ndarray  # weight of each subsequence
     bias: float
     logistic: np.ndarray
+    learned: bool = True  # False: a constant, as nothing was found to tell documents apart
 
     def words(self, m: np.ndarray) -> np.ndarray:
         return against(m, self.table) + self.bias
@@ -286,7 +287,7 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
     sample = stored(sample.select("text", F.col("toxic").cast("long").alias("toxic")), "labelled-documents")
     sizes = {int(r.toxic): r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rate = (sizes.get(1, 0) + 0.5) / (sum(sizes.values()) + 1)
-    constant = Model(np.zeros(SYMBOLS**3), -1.0, np.array([0, 0, 0, 0, 0, 0, np.log(rate / (1 - rate))]))
+    constant = Model(np.zeros(SYMBOLS**3), -1.0, np.array([0, 0, 0, 0, 0, 0, np.log(rate / (1 - rate))]), False)
     if len(sizes) < 2:
         return constant
 
@@ -350,8 +351,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
-    """The rows whose score is below 0.5, learned as in ``scored``; columns stay as they are."""
+    """The rows whose score is below 0.5, learned as in ``scored``; columns stay as they are. A model that found nothing to
+    tell documents apart rejects none."""
     model = train(docs, labels.where(~held_out(F.col("doc_id"))), **options)
+    if not model.learned:
+        return docs
     return docs.where(scorer(docs.sparkSession, model)(F.lower("text")) < 0.5)
 
 
