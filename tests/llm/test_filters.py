@@ -91,6 +91,25 @@ def test_a_model_without_evidence_rejects_nothing(spark, tmp_path):
         assert sorted(r.doc_id for r in toxicity.without_toxic(df, marked).collect()) == list(range(40))
 
 
+def test_rows_of_a_repeated_document_are_sampled_too(spark, tmp_path, monkeypatch):
+    rows = labelled(300)
+    docs = [(i, t) for i, t, _ in rows] + [(1, f"kalo mitor {k}") for k in range(500)] + [(2, "kalo ensa")] * 500
+    sizes = []
+    keep = toxicity.stored
+
+    def watched(df, name):
+        out = keep(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(toxicity, "stored", watched)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    df = table(spark, tmp_path, docs)
+    toxicity.train(df, labels, max_documents=400)
+    toxicity.train(df, labels, max_documents=2000)
+    assert [n for name, n in sizes if name == "labelled-documents"] == [400, 300 + 500 + 1]
+
+
 def test_kernel_table_equals_sums_over_landmarks():
     codes = toxicity._codes([b"\x01\x02\x03\x04", b"\x05\x02\x03", b"\x01\x02\x01\x02\x03"])
     used, maps = toxicity.features(codes)

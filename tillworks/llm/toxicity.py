@@ -278,12 +278,14 @@ def train(docs: DataFrame, labels: DataFrame, max_documents: int = MAX_DOCUMENTS
     """Learn from labelled documents: ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic 0 or 1; null: no label).
 
     At most ``max_documents`` labelled documents, chosen by a hash of doc_id, ``MAX_TOXIC_WORDS`` words of toxic ones, and
-    ``max_words`` frequent and as many other negative words are used. A doc_id with contradicting labels is toxic. Without two kinds of labels, or without any
+    ``max_words`` frequent and as many other negative words are used. Equal rows (doc_id and text) of a chosen doc_id count
+    once, and if its texts differ, at most ``max_documents`` of all, chosen by a hash of the text. A doc_id with contradicting labels is toxic. Without two kinds of labels, or without any
     significant word, every document gets the share of toxic ones.
     """
     chosen = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic in (0, 1)")
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
     sample = docs.select("doc_id", F.lower("text").alias("text")).join(F.broadcast(chosen), "doc_id")
+    sample = sample.dropDuplicates(["doc_id", "text"]).orderBy(F.xxhash64("text", "doc_id"), "text", "doc_id").limit(max_documents)
     sample = stored(sample.select("text", F.col("toxic").cast("long").alias("toxic")), "labelled-documents")
     sizes = {int(r.toxic): r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     rate = (sizes.get(1, 0) + 0.5) / (sum(sizes.values()) + 1)
