@@ -161,3 +161,20 @@ def test_mined_rules(spark, tmp_path):
         assert r.verdict == ("block" if "casino" in (r.url or "") and "win" in r.url else "allow"), r
     assert urls.mine(urls.labelled_pages(pages, labels.limit(0))).count() == 0
     assert urls.judged(pages.limit(0), mined).count() == 0
+
+
+def test_rules_are_counted_in_all_tokens(spark):
+    """Clean URLs have 16 tokens that tell more than x, which all URLs have."""
+    long = "/".join(f"g{'abcdefghijklmnop'[k]}" for k in range(16))
+    rows = [(f"http://h.org/x/{'' if i % 2 else long}", bool(i % 2)) for i in range(200)]
+    assert urls.mine(spark.createDataFrame(rows, "url string, bad boolean")).count() == 0
+
+
+def test_copies_of_one_url_do_not_fill_the_sample(spark):
+    rows = [(i, "http://hot.org/a" if i < 900 else f"http://casino.org/{'abcdefghij'[i % 10]}", i >= 900) for i in range(1000)]
+    pages = spark.createDataFrame([r[:2] for r in rows], "page_id long, url string")
+    labels = spark.createDataFrame([(i, 1 - int(b), 0) for i, _, b in rows], "doc_id long, quality int, toxic int")
+    for hot in ("http://hot.org/a", "http://hot.org/b", "http://hot.org/c", "http://hot.org/d"):
+        named = pages.withColumn("url", F.when(F.col("url") == "http://hot.org/a", hot).otherwise(F.col("url")))
+        mined = urls.mine(urls.labelled_pages(named, labels), max_labelled=500)
+        assert any(r.antecedent == ["host:casino"] and 0.06 < r.support < 0.14 for r in mined.collect())

@@ -60,13 +60,14 @@ def mine(
 ) -> DataFrame:
     """Rules as ``anchor`` (rarest token), ``antecedent``, ``confidence`` and ``support`` from ``url`` and ``bad`` (boolean).
 
-    At most ``max_labelled`` URLs, chosen by hash, are used, and of each the ``max_items`` frequent tokens whose share of bad
-    URLs differs most from the average. A rule needs ``min_count`` bad URLs at least, whatever their share. Null URLs or
+    At most ``max_labelled`` rows, chosen by a hash of all columns but ``bad``, are used. Combinations are sought among each
+    URL's ``max_items`` frequent tokens whose share of bad URLs differs most from the average, and then counted in all
+    tokens. A rule needs ``min_count`` bad URLs at least, whatever their share. Null URLs or
     labels are not used. Without bad URLs there are no rules.
     """
     spark = labelled.sparkSession
-    known = labelled.where("url is not null and bad is not null").select("url", "bad")
-    known = known.orderBy(F.xxhash64("url"), "url", "bad").limit(max_labelled)
+    known = labelled.where("url is not null and bad is not null")
+    known = known.orderBy(F.xxhash64(*(c for c in known.columns if c != "bad")), "url", "bad").limit(max_labelled)
     known = stored(known.select(F.monotonically_increasing_id().alias("id"), "bad", tokens(F.col("url")).alias("items")), "labelled-urls")
     n, n_bad = known.agg(F.count("*"), F.count_if("bad")).first()
     none = spark.createDataFrame([], "anchor string, antecedent array<string>, confidence double, support double")
@@ -82,14 +83,15 @@ def mine(
     )
     baskets = ranked.select(F.concat("top.item", F.when(F.col("bad"), F.array(F.lit(BAD))).otherwise(F.array())).alias("items"))
     found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(stored(baskets, "baskets"))
-    sets = stored(found.freqItemsets.select(F.array_sort("items").alias("items"), "freq"), "itemsets")
-    bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1))
-    bad = bad.select(F.array_remove("items", BAD).alias("items"), F.col("freq").alias("both"))
-    rules = bad.join(sets, "items").withColumn("confidence", F.col("both") / F.col("freq"))
-    rules = rules.where(F.col("confidence") >= min_confidence).withColumn("support", F.col("both") / F.lit(float(n)))
-    rare = rules.select("items", "confidence", "support", F.explode("items").alias("item")).join(weights, "item")
-    rare = rare.groupBy("items", "confidence", "support").agg(F.min_by("item", F.struct("n", "item")).alias("anchor"))
-    return stored(rare.select("anchor", F.col("items").alias("antecedent"), "confidence", "support"), "url-rules")
+    sets = stored(found.freqItemsets.select(F.array_sort("items").alias("items")), "itemsets")
+    bad = sets.where(F.array_contains("items", BAD) & (F.size("items") > 1)).select(F.array_remove("items", BAD).alias("antecedent"))
+    rare = bad.select("antecedent", F.explode("antecedent").alias("item")).join(weights, "item")
+    rare = rare.groupBy("antecedent").agg(F.min_by("item", F.struct("n", "item")).alias("anchor"))
+    held = known.select("bad", "items", F.explode("items").alias("anchor")).join(rare, "anchor")
+    held = held.where(F.size(F.array_except("antecedent", "items")) == 0)
+    rules = held.groupBy("anchor", "antecedent").agg(F.count("*").alias("n"), F.count_if("bad").alias("both"))
+    rules = rules.withColumn("confidence", F.col("both") / F.col("n")).where(F.col("confidence") >= min_confidence)
+    return stored(rules.select("anchor", "antecedent", "confidence", (F.col("both") / F.lit(float(n))).alias("support")), "url-rules")
 
 
 def judged(urls: DataFrame, mined: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
@@ -112,7 +114,7 @@ def judged(urls: DataFrame, mined: DataFrame, rules: tuple[tuple[str, str], ...]
 
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """``url`` and ``bad`` (toxic or of low quality) of the pages whose id has a label."""
+    """``page_id``, ``url`` and ``bad`` (toxic or of low quality) of the pages whose id has a label."""
     bad = (F.coalesce("toxic", F.lit(0)) == 1) | (F.coalesce("quality", F.lit(1)) == 0)
     known = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max(bad).alias("bad"))
-    return pages.select("page_id", "url").join(known, F.col("page_id") == F.col("doc_id")).select("url", "bad")
+    return pages.select("page_id", "url").join(known, F.col("page_id") == F.col("doc_id")).select("page_id", "url", "bad")
