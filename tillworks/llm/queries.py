@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, urls, warc
+from tillworks.llm import chat, decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,9 +73,22 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every formatted conversation says, read back from it."""
+    return chat.digests(chat.conversations(_table(spark, sf_dir, "conversations")))
+
+
+QUERIES = (
+    op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op8_urls, op9_suffix_tree,
+    op10_minhash, op13_chat,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {q.__name__: q for q in (op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op8_urls, op9_suffix_tree, op10_minhash)}
+    return {q.__name__: q for q in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE}
+    return {
+        "op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op13_chat": chat.ORACLE,
+    }
