@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import chat, decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, urls, warc
+from tillworks.llm import chat, codes, decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,12 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", topk.integers(F.col("embedding")).alias("v"))
+    return codes.reported(*codes.compressed(vectors))
+
+
 def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every formatted conversation says, read back from it."""
     return chat.digests(chat.conversations(_table(spark, sf_dir, "conversations")))
@@ -80,7 +86,7 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op8_urls, op9_suffix_tree,
-    op10_minhash, op13_chat,
+    op10_minhash, op12_codes, op13_chat,
 )
 
 
@@ -90,5 +96,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op13_chat": chat.ORACLE,
+        "op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op12_codes": codes.ORACLE,
+        "op13_chat": chat.ORACLE,
     }
