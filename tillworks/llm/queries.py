@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import chat, codes, decontaminate, minhash, mixing, packing, sharding, suffix_tree, topk, toxicity, urls, warc
+from tillworks.llm import chat, codes, decontaminate, minhash, mixing, packing, phrases, sharding, suffix_tree, topk, toxicity, urls, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -73,6 +73,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best collocations of each language."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code and error of every vector."""
     vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "label", topk.integers(F.col("embedding")).alias("v"))
@@ -86,7 +91,7 @@ def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_warc, op2_sharding, op3_decontaminate, op4_mixing, op5_toxicity, op6_packing, op7_topk, op8_urls, op9_suffix_tree,
-    op10_minhash, op12_codes, op13_chat,
+    op10_minhash, op11_phrases, op12_codes, op13_chat,
 )
 
 
@@ -96,6 +101,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op12_codes": codes.ORACLE,
+        "op1_warc": warc.ORACLE, "op4_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op11_phrases": phrases.ORACLE,
+        "op12_codes": codes.ORACLE,
         "op13_chat": chat.ORACLE,
     }
