@@ -8,22 +8,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillworks.sources import records
 from tillworks.values import LOADED_AT, NULL_SENTINELS, SOURCE, SOURCE_LABEL, TABS, Tab
 
 DRIFT_SCHEMA = "tab string, kind string, header string"
 
 
-def scan_tab(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = False) -> DataFrame:
+def scan_tab(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool | str | None = None) -> DataFrame:
     """All records of one exported tab as text; the first row of each CSV file is its header.
 
-    Files are read in splits. An export with line breaks inside quoted cells needs ``multiline``, which reads a file in
-    one task: it should come in several files, or as Parquet.
+    CSV files are read in splits, also where cells hold line breaks (``records``), which a first pass over the quotes finds
+    out. ``multiline`` spares that pass: ``False`` for one record on each line, ``True`` for line breaks in quoted cells.
+    With ``"file"`` each file is read in one task, which unbalanced quotes need.
     """
     if fmt != "csv":
         return spark.read.format(fmt).load(path)
+    if multiline is None or multiline is True:
+        splits = records.Splits(spark, path)
+        if multiline or splits.broken:
+            return records.scan_records(spark, path, splits)
     # Without inferSchema every CSV column is a string. enforceSchema=False checks each file's own header, so a part
     # with its columns in another order fails instead of being read into the wrong columns.
-    options = {"header": True, "multiLine": multiline, "escape": '"', "enforceSchema": False}
+    options = {"header": True, "multiLine": multiline == "file", "escape": '"', "enforceSchema": False}
     return spark.read.options(**options).csv(path)
 
 
