@@ -1,13 +1,13 @@
 """Phrase collocations by Rabin-Karp fingerprints.
 
 Words are hashed from prefix polynomials over a batch's bytes, runs of words from prefix polynomials over the words' hashes, so
-that all runs of one length take a few vectorised operations. A task counts fingerprints and passes each on with its count and a
-pointer to one occurrence (row and bytes); the shuffle adds the counts up. Texts are not shuffled: a phrase is read from its row
-only once it is known to be frequent.
+that all runs of one length take a few vectorised operations. Texts are not shuffled: a phrase is read from its row only once it
+is known to be frequent.
 
-A phrase is frequent only if its first and its last words but one are. So runs are counted in passes over the texts: words,
-pairs whose words are frequent, and longer runs whose pairs all are. What is frequent goes to the tasks as a bit filter of fixed
-size, which lets a few more runs through but loses none.
+A run is frequent only if its first and its last words but one are. So runs are counted in passes over the texts, by fingerprint
+alone: words, pairs whose words are frequent, and longer runs whose pairs all are. What is frequent goes to the tasks as a bit
+filter of fixed size, which lets a few more runs through but loses none. A last pass counts the runs that are left again, with a
+second fingerprint and with pointers (row and bytes) to an occurrence.
 
 Runs are told apart by two independent fingerprints of 64 bits. The texts at the first and the last pointer of each frequent run
 are compared; if they differ, the fingerprints collide and the job fails rather than report a wrong count.
@@ -20,7 +20,6 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +36,7 @@ NO_LANGUAGE = "und"
 
 SCORE = "1000BD * (cast(a as decimal(19,0)) * cast(n as decimal(18,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))"
 
-_GRAM = "size int, fp long, check long, n long, row_id long, span long"
+_GRAM = "fp long, check long, n long, size int, row_id long, span long"
 _FOUND = "row_id long, size int, fp long, check long, last boolean, phrase string"
 
 
@@ -56,12 +55,13 @@ def words_of(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.
 
 
 class Counter:
-    """Counts of fingerprints with a pointer to an occurrence, passed on when many are held."""
+    """Counts ``n`` of keys, with one occurrence's values of the other columns, passed on when many are held."""
 
-    def __init__(self) -> None:
-        self.parts, self.held = [], 0
+    def __init__(self, names: list[str], keys: int) -> None:
+        self.names, self.keys, self.parts, self.held = names, keys, [], 0
 
-    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def add(self, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """The first ``keys`` columns are the key, the next is the count."""
         self.parts.append(columns)
         self.held += len(columns[0])
         if self.held > HELD:
@@ -70,68 +70,72 @@ class Counter:
                 yield from self.rest()
 
     def _merge(self) -> None:
-        size, fp, check, n, row, span = (np.concatenate(x) for x in zip(*self.parts))
-        order = np.argsort(fp)
-        fp, check = fp[order], check[order]
-        first = np.flatnonzero(np.append(True, (fp[1:] != fp[:-1]) | (check[1:] != check[:-1])))
-        one = order[first]
-        self.parts = [(size[one], fp[first], check[first], np.add.reduceat(n[order], first), row[one], span[one])]
-        self.held = len(first)
+        columns = [np.concatenate(x) for x in zip(*self.parts)]
+        order = np.argsort(columns[0])
+        new = np.zeros(len(order), bool)
+        new[0] = True
+        for k in range(self.keys):
+            key = columns[k][order]
+            new[1:] |= key[1:] != key[:-1]
+        first = np.flatnonzero(new)
+        merged = [c[order[first]] for c in columns]
+        merged[self.keys] = np.add.reduceat(columns[self.keys][order], first)
+        self.parts, self.held = [merged], len(first)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.held:
             self._merge()
             arrays = [pa.array(x.view(np.int64) if x.dtype == np.uint64 else x) for x in self.parts[0]]
-            yield pa.RecordBatch.from_arrays(arrays, ["size", "fp", "check", "n", "row_id", "span"])
+            yield pa.RecordBatch.from_arrays(arrays, self.names)
         self.parts, self.held = [], 0
 
 
-def counter(sizes: range, members: BitFilter | None, known: int, bits: int):
-    """Counts the runs of ``sizes`` words whose runs of ``known`` words may all be members; without members all words, and each
-    language's words as a run of no words. ``bits`` of the first fingerprint are used."""
+def counter(sizes: range, shared, known: int, bits: int, pointers: bool):
+    """Counts the runs of ``sizes`` words; those of up to ``known`` words in them may all be members of a shared filter. With
+    ``pointers`` also each language's words, as a run of no words. ``bits`` of the first fingerprint are used."""
     short = np.uint64((1 << bits) - 1)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counts = Hasher(), Counter()
-
-        def prints(codes: np.ndarray, salt: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
-            return mix(hasher.spans(codes, at, at + size) ^ salt) & short
-
+        members, hasher = shared and shared.value, Hasher()
+        counts = Counter(["fp", "check", "n", "size", "row_id", "span"], 2) if pointers else Counter(["fp", "n"], 1)
         for batch in batches:
             ids, languages = (batch.column(c).to_numpy() for c in ("row_id", "language"))
             for first, data, offsets in slices(batch.column("text")):
                 words, starts, ends, row, piece = words_of(data, offsets, hasher)
-                if len(words) < max(known, 1):
+                if not len(words):
                     continue
                 salt = mix(languages[first + row].view(np.uint64))
-                second = mix(words ^ golden(5))
-                begin = starts - offsets[row]
+                second = mix(words ^ golden(5)) if pointers else words
+
+                def prints(at: np.ndarray, size: int) -> np.ndarray:
+                    return mix(hasher.spans(words, at, at + size) ^ salt[at]) & short
 
-                def add(at: np.ndarray, size: int, n: int | None = None) -> Iterator[pa.RecordBatch]:
-                    fp = prints(words, salt[at], at, size)
+                def counted(at: np.ndarray, size: int, fp: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+                    if not pointers:
+                        yield from counts.add([fp, n])
+                        return
                     check = mix(hasher.spans(second, at, at + size) ^ mix(salt[at] + golden(size + 1)))
-                    end = ends[at + size - 1] - offsets[row[at]] if size else begin[at]
-                    one = np.ones(len(at), np.int64) if n is None else np.full(len(at), n)
-                    yield from counts.add(
-                        np.full(len(at), size, np.int32), fp, check, one, ids[first + row[at]], begin[at] << 32 | end
-                    )
+                    base = offsets[row[at]]
+                    span = (starts[at] - base) << 32 | ((ends[at + size - 1] if size else starts[at]) - base)
+                    yield from counts.add([fp, check, n, np.full(len(at), size, np.int32), ids[first + row[at]], span])
 
-                if members is None:
+                if pointers:
                     _, at, n = np.unique(salt, return_index=True, return_counts=True)
-                    for place, number in zip(at, n):
-                        yield from add(np.array([place]), 0, number)
-                    yield from add(np.arange(len(words)), 1)
-                    continue
-                at = np.arange(len(words) - known + 1)
-                at = at[piece[at] == piece[at + known - 1]]
-                at = at[members.holds(prints(words, salt[at], at, known))]
-                for size in range(known + 1, sizes.stop):  # runs whose first and last words but one are such runs
-                    begins = np.zeros(len(words) + 1, bool)
-                    begins[at] = True
-                    at = at[begins[at + 1]]
-                    at = at[piece[at] == piece[at + size - 1]]
+                    yield from counted(at, 0, prints(at, 0), n)
+                at = np.arange(len(words))
+                for size in range(1, sizes.stop):
+                    if size > 1:  # the runs of one word less at this place and at the next
+                        begins = np.zeros(len(words) + 1, bool)
+                        begins[at] = True
+                        at = at[begins[at + 1]]
+                        at = at[piece[at] == piece[at + size - 1]]
+                    fp = prints(at, size)
+                    if size <= known:
+                        left = members.holds(fp)
+                        left.sort()
+                        at, fp = at[left], fp[left]
                     if size in sizes:
-                        yield from add(at, size)
+                        yield from counted(at, size, fp, np.ones(len(at), np.int64))
         yield from counts.rest()
 
     return run
@@ -161,24 +165,24 @@ def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits:
 
     ``docs`` is a stored table with ``lang`` (null: ``und``) and ``text``.
     """
-    lang = F.coalesce("lang", F.lit(NO_LANGUAGE))
+    spark, lang = docs.sparkSession, F.coalesce("lang", F.lit(NO_LANGUAGE))
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), lang.alias("lang"), "text")
     texts = source.select("row_id", F.xxhash64("lang").alias("language"), "text")
-    found, members, known = [], None, 0
-    for sizes in (range(1, 2), range(2, 3), range(3, longest + 1)):
-        if sizes.start > longest:
-            break
-        rows = texts.mapInArrow(counter(sizes, members, known, bits), _GRAM)
-        counted = rows.groupBy("size", "fp", "check").agg(
-            F.sum("n").alias("n"), *(f(c).alias(f"{name}_{c}") for name, f in (("first", F.first), ("last", F.last)) for c in ("row_id", "span"))
-        )
-        counted = stored(counted.where((F.col("n") >= least) | (F.col("size") == 0)), f"runs-of-{sizes.start}")
-        found.append(counted)
-        known = sizes.start
-        members = BitFilter.gather(counted.where(F.col("size") == known), "fp", FILTER_BITS)
-        if not members.words.any():
+    counts, shared, known = [], None, 0
+    for sizes in (range(1, 2), range(2, min(longest, 2) + 1), range(3, longest + 1)):
+        if not sizes:
             break
-    runs = reduce(DataFrame.unionByName, found)
+        rows = texts.mapInArrow(counter(sizes, shared, known, bits, False), "fp long, n long")
+        rows = rows.groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+        counts.append(stored(rows.select("fp"), f"runs-of-{sizes.start}"))
+        known = sizes[-1]
+        members = BitFilter.gather(reduce(DataFrame.unionByName, counts), "fp", FILTER_BITS)
+        shared = spark.sparkContext.broadcast(members)
+    rows = texts.mapInArrow(counter(range(1, longest + 1), shared, longest, bits, True), _GRAM)
+    runs = rows.groupBy("size", "fp", "check").agg(
+        F.sum("n").alias("n"), *(f(c).alias(f"{name}_{c}") for name, f in (("first", F.first), ("last", F.last)) for c in ("row_id", "span"))
+    )
+    runs = stored(runs.where((F.col("n") >= least) | (F.col("size") == 0)), "runs")
 
     def pointers(name: str) -> DataFrame:
         return runs.select("size", "fp", "check", F.col(f"{name}_row_id").alias("row_id"), F.col(f"{name}_span").alias("span"),
