@@ -1,16 +1,16 @@
 """Phrase collocations by Rabin-Karp fingerprints.
 
 Words are hashed from prefix polynomials over a batch's bytes, runs of words from prefix polynomials over the words' hashes, so
-that all runs of one length take a few vectorised operations. Texts are not shuffled: a phrase is read from its row only once it
-is known to be frequent.
+that all runs of one length take a few vectorised operations. A task counts fingerprints and passes each on with its count and a
+pointer to a row that has it; the shuffle adds the counts up. Texts are not shuffled: a phrase is read from the row it points to
+only once it is known to be frequent.
 
-A run is frequent only if its first and its last words but one are. So runs are counted in passes over the texts, by fingerprint
-alone: words, pairs whose words are frequent, and longer runs whose pairs all are. What is frequent goes to the tasks as a bit
-filter of fixed size, which lets a few more runs through but loses none. A last pass counts the runs that are left again, with a
-second fingerprint and with pointers (row and bytes) to an occurrence.
+A run is frequent only if its first and its last words but one are. So runs are counted in passes over the texts: words, pairs
+whose words are frequent, and longer runs whose pairs all are. What is frequent goes to the tasks as a bit filter of fixed size,
+which lets a few more runs through but loses none.
 
-Runs are told apart by two independent fingerprints of 64 bits. The texts at the first and the last pointer of each frequent run
-are compared; if they differ, the fingerprints collide and the job fails rather than report a wrong count.
+Runs are told apart by two independent fingerprints of 64 and 31 bits. Each frequent run is looked up in the texts of its first
+and its last pointer; if the two phrases differ, the fingerprints collide and the job fails rather than report a wrong count.
 """
 
 from __future__ import annotations
@@ -36,8 +36,6 @@ NO_LANGUAGE = "und"
 
 SCORE = "1000BD * (cast(a as decimal(19,0)) * cast(n as decimal(18,0))) div (cast(l as decimal(19,0)) * cast(r as decimal(19,0)))"
 
-_GRAM = "fp long, check long, n long, size int, row_id long, span long"
-_FOUND = "row_id long, size int, fp long, check long, last boolean, phrase string"
 
 
 def _table(of: bytes) -> np.ndarray:
@@ -90,49 +88,52 @@ class Counter:
         self.parts, self.held = [], 0
 
 
-def counter(sizes: range, shared, known: int, bits: int, pointers: bool):
+class Runs:
+    """The runs of words in a slice of texts, and their fingerprints; ``bits`` of the first are used."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, languages: np.ndarray, hasher: Hasher, bits: int) -> None:
+        self.words, self.starts, self.ends, self.row, self.piece = words_of(data, offsets, hasher)
+        self.salt = mix(languages[self.row].view(np.uint64)) if len(self.row) else np.zeros(0, np.uint64)
+        self.second, self.hasher, self.short = mix(self.words ^ golden(5)), hasher, np.uint64((1 << bits) - 1)
+
+    def prints(self, at: np.ndarray, size: int) -> np.ndarray:
+        return mix(self.hasher.spans(self.words, at, at + size) ^ self.salt[at]) & self.short
+
+    def checks(self, at: np.ndarray, size: int) -> np.ndarray:
+        mixed = mix(self.hasher.spans(self.second, at, at + size) ^ mix(self.salt[at] + golden(size + 1)))
+        return (mixed >> np.uint64(33)).astype(np.int32)
+
+    def longer(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Places of the runs of ``size`` words whose first and last words but one are at given places."""
+        begins = np.zeros(len(self.words) + 1, bool)
+        begins[at] = True
+        at = at[begins[at + 1]]
+        return at[self.piece[at] == self.piece[at + size - 1]]
+
+
+def counter(sizes: range, shared, known: int, bits: int):
     """Counts the runs of ``sizes`` words; those of up to ``known`` words in them may all be members of a shared filter. With
-    ``pointers`` also each language's words, as a run of no words. ``bits`` of the first fingerprint are used."""
-    short = np.uint64((1 << bits) - 1)
+    runs of one word also each language's words, as a run of no words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        members, hasher = shared and shared.value, Hasher()
-        counts = Counter(["fp", "check", "n", "size", "row_id", "span"], 2) if pointers else Counter(["fp", "n"], 1)
+        members, hasher, counts = shared and shared.value, Hasher(), Counter(["fp", "check", "n", "row_id"], 2)
         for batch in batches:
             ids, languages = (batch.column(c).to_numpy() for c in ("row_id", "language"))
             for first, data, offsets in slices(batch.column("text")):
-                words, starts, ends, row, piece = words_of(data, offsets, hasher)
-                if not len(words):
-                    continue
-                salt = mix(languages[first + row].view(np.uint64))
-                second = mix(words ^ golden(5)) if pointers else words
-
-                def prints(at: np.ndarray, size: int) -> np.ndarray:
-                    return mix(hasher.spans(words, at, at + size) ^ salt[at]) & short
+                runs = Runs(data, offsets, languages[first:], hasher, bits)
 
                 def counted(at: np.ndarray, size: int, fp: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-                    if not pointers:
-                        yield from counts.add([fp, n])
-                        return
-                    check = mix(hasher.spans(second, at, at + size) ^ mix(salt[at] + golden(size + 1)))
-                    base = offsets[row[at]]
-                    span = (starts[at] - base) << 32 | ((ends[at + size - 1] if size else starts[at]) - base)
-                    yield from counts.add([fp, check, n, np.full(len(at), size, np.int32), ids[first + row[at]], span])
-
-                if pointers:
-                    _, at, n = np.unique(salt, return_index=True, return_counts=True)
-                    yield from counted(at, 0, prints(at, 0), n)
-                at = np.arange(len(words))
+                    yield from counts.add([fp, runs.checks(at, size), n, ids[first + runs.row[at]]])
+
+                if 1 in sizes:
+                    _, at, n = np.unique(runs.salt, return_index=True, return_counts=True)
+                    yield from counted(at, 0, runs.prints(at, 0), n)
+                at = np.arange(len(runs.words))
                 for size in range(1, sizes.stop):
-                    if size > 1:  # the runs of one word less at this place and at the next
-                        begins = np.zeros(len(words) + 1, bool)
-                        begins[at] = True
-                        at = at[begins[at + 1]]
-                        at = at[piece[at] == piece[at + size - 1]]
-                    fp = prints(at, size)
+                    at = runs.longer(at, size) if size > 1 else at
+                    fp = runs.prints(at, size)
                     if size <= known:
-                        left = members.holds(fp)
-                        left.sort()
+                        left = np.sort(members.holds(fp))
                         at, fp = at[left], fp[left]
                     if size in sizes:
                         yield from counted(at, size, fp, np.ones(len(at), np.int64))
@@ -141,22 +142,44 @@ def counter(sizes: range, shared, known: int, bits: int, pointers: bool):
     return run
 
 
-def _reader(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The texts that pointers of a row point at, words lower-cased and joined by single spaces."""
+def reader(longest: int, bits: int):
+    """The phrases of the fingerprints that are wanted of each row, words lower-cased and joined by single spaces."""
     blank = bytes.maketrans(b"\t", b" ")
-    for batch in batches:
-        texts = batch.column("text").fill_null("").cast(pa.binary())
-        out = []
-        for text, row, pointers in zip(texts, batch.column("row_id").to_pylist(), batch.column("pointers")):
-            data = text.as_buffer()
-            for p in pointers.as_py():
-                start, end = p["span"] >> 32, p["span"] & 0xFFFFFFFF
-                words = bytes(data[start:end]).translate(blank).lower().split(b" ")
-                phrase = b" ".join(w for w in words if w)
-                out.append((row, p["size"], p["fp"], p["check"], p["last"], phrase.decode()))
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
-        columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)]
-        yield pa.RecordBatch.from_arrays(columns, ["row_id", "size", "fp", "check", "last", "phrase"])
+
+    def name(row: np.ndarray, fp: np.ndarray, check: np.ndarray) -> np.ndarray:
+        return mix(fp.view(np.uint64) + mix(row.astype(np.uint64) + (check.astype(np.uint64) << np.uint64(32))))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            ids, languages = (batch.column(c).to_numpy() for c in ("row_id", "language"))
+            fps, checks = batch.column("fps"), batch.column("checks")
+            for first, data, offsets in slices(batch.column("text")):
+                runs, n = Runs(data, offsets, languages[first:], hasher, bits), len(offsets) - 1
+                want_fp, want_check = fps.slice(first, n).flatten().to_numpy(), checks.slice(first, n).flatten().to_numpy()
+                want_row = np.repeat(np.arange(n), fps.slice(first, n).value_lengths().to_numpy())
+                wanted = name(want_row, want_fp, want_check)
+                order = np.argsort(wanted)
+                wanted, open_, found, at = wanted[order], np.ones(len(order), bool), [], np.arange(len(runs.words))
+                for size in range(longest + 1):
+                    at = runs.longer(at, size) if size > 1 else at
+                    fp, check = runs.prints(at, size), runs.checks(at, size)
+                    key = name(runs.row[at], fp, check)
+                    place = np.minimum(np.searchsorted(wanted, key), len(wanted) - 1)
+                    hit = np.flatnonzero(wanted[place] == key)
+                    hits, first_of = np.unique(place[hit], return_index=True)
+                    for to, one in zip(hits, hit[first_of]):
+                        w = order[to]
+                        if open_[to] and (want_fp[w], want_check[w], want_row[w]) == (fp[one].view(np.int64), check[one], runs.row[at[one]]):
+                            open_[to] = False
+                            start, end = runs.starts[at[one]], runs.ends[at[one] + size - 1] if size else runs.starts[at[one]]
+                            words = data[start:end].tobytes().translate(blank).lower().split(b" ")
+                            found.append((ids[first + want_row[w]], want_fp[w], want_check[w], b" ".join(filter(None, words)).decode()))
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string()]
+                columns = [pa.array(c, k) for c, k in zip(zip(*found) if found else [[]] * 4, kinds)]
+                yield pa.RecordBatch.from_arrays(columns, ["row_id", "fp", "check", "phrase"])
+
+    return run
 
 
 def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits: int = 64) -> DataFrame:
@@ -168,37 +191,32 @@ def frequent(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, bits:
     spark, lang = docs.sparkSession, F.coalesce("lang", F.lit(NO_LANGUAGE))
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), lang.alias("lang"), "text")
     texts = source.select("row_id", F.xxhash64("lang").alias("language"), "text")
-    counts, shared, known = [], None, 0
+    found, shared, known = [], None, 0
     for sizes in (range(1, 2), range(2, min(longest, 2) + 1), range(3, longest + 1)):
         if not sizes:
             break
-        rows = texts.mapInArrow(counter(sizes, shared, known, bits, False), "fp long, n long")
-        rows = rows.groupBy("fp").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        counts.append(stored(rows.select("fp"), f"runs-of-{sizes.start}"))
+        rows = texts.mapInArrow(counter(sizes, shared, known, bits), "fp long, check int, n long, row_id long")
+        counted = rows.groupBy("fp", "check").agg(F.sum("n").alias("n"), F.first("row_id").alias("first"), F.last("row_id").alias("last"))
+        found.append(stored(counted.where(F.col("n") >= least), f"runs-of-{sizes.start}"))
         known = sizes[-1]
-        members = BitFilter.gather(reduce(DataFrame.unionByName, counts), "fp", FILTER_BITS)
-        shared = spark.sparkContext.broadcast(members)
-    rows = texts.mapInArrow(counter(range(1, longest + 1), shared, longest, bits, True), _GRAM)
-    runs = rows.groupBy("size", "fp", "check").agg(
-        F.sum("n").alias("n"), *(f(c).alias(f"{name}_{c}") for name, f in (("first", F.first), ("last", F.last)) for c in ("row_id", "span"))
-    )
-    runs = stored(runs.where((F.col("n") >= least) | (F.col("size") == 0)), "runs")
-
-    def pointers(name: str) -> DataFrame:
-        return runs.select("size", "fp", "check", F.col(f"{name}_row_id").alias("row_id"), F.col(f"{name}_span").alias("span"),
-                           F.lit(name == "last").alias("last"))
-
-    places = pointers("first").unionByName(pointers("last")).groupBy("row_id")
-    places = stored(places.agg(F.collect_list(F.struct("size", "fp", "check", "span", "last")).alias("pointers")), "pointers")
-    read = source.select("row_id", "text").join(places, "row_id").mapInArrow(_reader, _FOUND)
-    read = read.join(source.select("row_id", "lang"), "row_id").groupBy("size", "fp", "check").agg(
-        F.max(F.when(~F.col("last"), F.col("phrase"))).alias("phrase"), F.max(F.when(F.col("last"), F.col("phrase"))).alias("other"),
-        F.min("lang").alias("lang"), F.max("lang").alias("other_lang"),
+        if known < longest:
+            members = BitFilter.gather(reduce(DataFrame.unionByName, found), "fp", FILTER_BITS)
+            shared = spark.sparkContext.broadcast(members)
+    runs = reduce(DataFrame.unionByName, found)
+
+    places = runs.select("fp", "check", F.explode(F.array_distinct(F.array("first", "last"))).alias("row_id"))
+    places = places.groupBy("row_id").agg(F.collect_list(F.struct("fp", "check")).alias("wanted"))
+    places = stored(places.select("row_id", F.col("wanted.fp").alias("fps"), F.col("wanted.check").alias("checks")), "pointers")
+    read = texts.join(places, "row_id").mapInArrow(reader(longest, bits), "row_id long, fp long, check int, phrase string")
+    read = read.join(source.select("row_id", "lang"), "row_id").groupBy("fp", "check").agg(
+        F.min("phrase").alias("phrase"), F.max("phrase").alias("other"), F.min("lang").alias("lang"), F.max("lang").alias("other_lang"),
     )
     clash = (F.col("phrase") != F.col("other")) | (F.col("lang") != F.col("other_lang"))
     collides = F.raise_error(F.concat(F.lit("fingerprints of two phrases collide: "), "phrase", F.lit(" / "), "other"))
     phrase = F.when(clash, collides).otherwise(F.col("phrase"))
-    return stored(runs.join(read, ["size", "fp", "check"]).select("lang", "size", phrase.alias("phrase"), "n"), "phrases")
+    size = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ")))
+    named = runs.join(read, ["fp", "check"]).select("lang", size.alias("size"), phrase.alias("phrase"), "n")
+    return stored(named, "phrases")
 
 
 def _joined(words: Column, first, length) -> Column:
