@@ -143,3 +143,63 @@ def test_a_table_keeps_its_declared_columns_and_types(spark, tmp_path):
         layers.replace(summary.drop("month_start"), "retail_marts", "expense_summary")
     with pytest.raises(ValueError, match="no type"):
         layers.replace(spark.sql("SELECT NULL AS a"), "retail_raw", "void_raw")
+
+
+def test_types_are_declared_before_anything_is_stored(spark, tmp_path):
+    layers = Layers(spark, str(tmp_path / "first"), "first_")
+    summary = marts.expense_summary(staged(spark, "stg_expenses"))
+    with pytest.raises(ValueError, match=r"total_amount.*decimal\(30,2\)"):
+        layers.replace(summary.withColumn("total_amount", F.col("total_amount").cast("decimal(30,2)")), "retail_marts", "expense_summary")
+    with pytest.raises(ValueError, match="Amount_KES"):
+        layers.replace(raw(spark, "expenses_raw", {"Amount_KES": "1"}).withColumn("Amount_KES", F.lit(1)), RAW_DB, "expenses_raw")
+    with pytest.raises(ValueError, match="sort_order"):
+        layers.replace(spark.sql("SELECT 'a' AS unit_name, 1L AS sort_order"), RAW_DB, "business_units")
+    assert not any(layers.exists(*t) for t in (("retail_marts", "expense_summary"), (RAW_DB, "expenses_raw"), (RAW_DB, "business_units")))
+
+
+@pytest.mark.parametrize("step", ["write", "CREATE TABLE", "MSCK", "CREATE OR REPLACE VIEW", "DROP TABLE"])
+def test_a_replacement_that_fails_at_any_step_leaves_a_readable_table(spark, tmp_path, step):
+    layers = Layers(spark, str(tmp_path / "steps"), f"steps_{step[:4].lower().strip()}{len(step)}_")
+    month, later = dt.date(2025, 1, 1), dt.date(2025, 2, 1)
+
+    def rows(n):
+        return spark.createDataFrame([(month, n), (later, n)], "month date, v int")
+
+    def read():
+        return sorted(layers.raw("t").where("month >= date'2025-01-01'").collect())
+
+    for n in (1, 2):
+        layers.replace(rows(n), RAW_DB, "t", partition_by="month")
+    before = layers.raw("t")
+    sql = spark.sql
+
+    def failing(text, *args, **kwargs):
+        if text.startswith(step):
+            raise RuntimeError("lost the catalog")
+        return sql(text, *args, **kwargs)
+
+    broken = rows(3)
+    if step == "write":
+        broken = broken.withColumn("v", F.when(F.col("month") == later, F.raise_error(F.lit("lost"))).otherwise(F.col("v")).cast("int"))
+    spark.sql = failing
+    try:
+        with pytest.raises(Exception, match="lost"):
+            layers.replace(broken, RAW_DB, "t", partition_by="month")
+    finally:
+        del spark.sql
+    want = 3 if step == "DROP TABLE" else 2
+    assert [r.v for r in read()] == [want, want] and [r.v for r in before.collect()] == [2, 2]
+    for n in range(4, 8):
+        layers.replace(rows(n), RAW_DB, "t", partition_by="month")
+        assert [r.v for r in read()] == [n, n] and len(layers.versions(RAW_DB, "t")) <= 1
+    folders = [p for p in (tmp_path / "steps" / f"{layers.prefix}{RAW_DB}" / "t").iterdir() if p.is_dir()]
+    assert len(folders) == 2
+
+
+def test_a_table_of_another_kind_is_replaced(layers, spark, tmp_path):
+    path = export(tmp_path / "e", EXPENSE_HEADERS, ["x"] * 8)
+    external.create_external_tab(layers, "expenses_raw", path, TABS["Expenses"].columns)
+    layers.replace(raw(spark, "expenses_raw", {"Amount_KES": "1"}), RAW_DB, "expenses_raw")
+    assert [r.Amount_KES for r in layers.raw("expenses_raw").collect()] == ["1"]
+    external.create_external_tab(layers, "expenses_raw", path, TABS["Expenses"].columns)
+    assert [r.Amount_KES for r in layers.raw("expenses_raw").collect()] == ["x"]

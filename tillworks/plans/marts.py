@@ -12,64 +12,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import functions as fn
+from tillworks import schemas
 from tillworks.operators.aggregates import combine, paid_by, with_latest
 from tillworks.operators.filters import active_only, with_value
 from tillworks.operators.joins import explode_spine, left_lookup
 from tillworks.operators.sets import union_distinct, with_month_of
 from tillworks.values import REGULAR_FROM, VIP_FROM
 
-COLUMNS: dict[str, list[str]] = {
-    "daily_sales_summary": [
-        "sale_date", "unit", "transaction_count", "units_sold", "gross_revenue", "total_discounts", "net_revenue",
-        "units_returned", "returns_value", "return_transaction_count", "effective_revenue", "mpesa_revenue",
-        "bank_revenue", "unique_customers_with_phone", "active_salespeople", "day_of_week", "day_of_month",
-        "week_start", "month_start",
-    ],
-    "monthly_profit": [
-        "month", "unit", "gross_revenue", "total_discounts", "total_returns", "units_returned", "return_count",
-        "net_revenue", "total_cogs", "total_operating_expenses", "gross_profit", "net_profit", "net_margin_pct",
-        "sale_count", "units_sold", "expense_entries",
-    ],
-    "inventory_position": [
-        "product_key", "product_name", "category", "unit_of_measure", "selling_price", "reorder_level",
-        "total_purchased", "total_purchase_cost", "last_purchase_date", "latest_unit_cost", "total_sold",
-        "total_returned", "total_revenue", "total_return_value", "stock_on_hand", "inventory_value_at_cost",
-        "inventory_value_at_retail", "stock_status", "needs_reorder",
-    ],
-    "product_performance": [
-        "month", "product_key", "product_name", "product_family", "product_variant", "category", "unit_of_measure",
-        "current_selling_price", "current_cost_price", "current_unit_margin_kes", "current_unit_margin_pct",
-        "reorder_level", "total_transactions", "total_units_sold", "total_units_returned", "total_revenue",
-        "total_return_value", "total_discounts", "avg_selling_price", "first_sale_date", "last_sale_date",
-        "total_cogs", "total_gross_profit", "gross_margin_pct",
-    ],
-    "unit_performance": [
-        "month", "unit", "total_transactions", "total_units_sold", "total_revenue", "total_discounts",
-        "avg_transaction_value", "salespeople_count", "active_days", "first_sale_date", "last_sale_date",
-        "total_returns_processed", "total_units_returned", "total_return_value", "total_expense_entries",
-        "total_expenses", "total_cogs", "gross_profit", "estimated_net_profit", "net_margin_pct", "return_rate_pct",
-    ],
-    "salesperson_performance": [
-        "salesperson_name", "month", "total_transactions", "active_days", "total_units_sold",
-        "total_returns_processed", "total_units_returned", "total_revenue", "total_return_value",
-        "total_discounts_given", "avg_transaction_value", "mpesa_revenue", "bank_revenue", "first_sale_date",
-        "last_sale_date",
-    ],
-    "expense_summary": [
-        "expense_date", "expense_category", "unit", "transaction_count", "total_amount", "mpesa_amount",
-        "bank_amount", "month_start", "week_start",
-    ],
-    "returns_analysis": [
-        "return_id", "return_date", "month_start", "week_start", "salesperson_name", "unit", "product_key",
-        "product_name", "category", "units_returned", "original_unit_price", "return_value", "return_reason",
-        "refund_method", "customer_phone", "notes", "product_return_rate_pct",
-    ],
-    "customer_insights": [
-        "month", "customer_phone_masked", "total_transactions", "purchase_days", "total_spent",
-        "avg_transaction_value", "largest_transaction", "total_units_purchased", "first_purchase_date",
-        "last_purchase_date", "days_since_last_purchase", "customer_tier", "is_repeat_customer",
-    ],
-}
+COLUMNS: dict[str, list[str]] = {table: schemas.names(ddl) for table, ddl in schemas.MARTS.items()}
 
 # Marts whose rows grow with products, people, customers or returns are stored by month, so that "this month" reads
 # one folder. The others hold a few rows per day or month at any scale.

@@ -10,35 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import functions as fn
+from tillworks import schemas
 from tillworks.functions.parsing import default_if_unparsable
 from tillworks.operators.filters import date_parsed, positive, required_present
 from tillworks.operators.windows import latest_per_key
 from tillworks.values import DEFAULT_REORDER_LEVEL
 
-COLUMNS: dict[str, list[str]] = {
-    "stg_products": [
-        "product_key", "product_name", "product_family", "product_variant", "category", "unit_of_measure",
-        "selling_price", "cost_price", "unit_margin_kes", "unit_margin_pct", "reorder_level", "is_active",
-        "submitted_at",
-    ],
-    "stg_sales": [
-        "sale_id", "sale_date", "salesperson_name", "product_key", "units_sold", "unit_price", "discount_amount",
-        "payment_method", "customer_phone", "customer_type", "unit", "notes", "submitted_at", "gross_amount",
-        "net_amount",
-    ],
-    "stg_expenses": [
-        "expense_id", "expense_date", "expense_category", "amount", "description", "paid_via", "recorded_by", "unit",
-        "submitted_at",
-    ],
-    "stg_inventory_purchases": [
-        "purchase_id", "purchase_date", "product_key", "units_purchased", "unit_cost", "total_cost", "supplier_name",
-        "payment_method", "unit", "notes", "submitted_at",
-    ],
-    "stg_returns": [
-        "return_id", "return_date", "salesperson_name", "product_key", "units_returned", "original_unit_price",
-        "return_value", "return_reason", "refund_method", "customer_phone", "unit", "notes", "submitted_at",
-    ],
-}
+COLUMNS: dict[str, list[str]] = {table: schemas.names(ddl) for table, ddl in schemas.STAGING.items()}
 
 
 def stg_products(products_raw: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ def create_external_tab(layers: Layers, table: str, path: str, columns: list[str
     """Drop and re-create a CSV table over ``path``: explicit text columns, header row skipped, nothing copied."""
     name = layers.name(RAW_DB, table)
     schema = ", ".join(f"`{c}` STRING" for c in columns)
-    layers.spark.sql(f"DROP TABLE IF EXISTS {name}")
+    layers.drop(RAW_DB, table)
     layers.spark.sql(
         f"CREATE TABLE {name} ({schema}) USING csv OPTIONS (header 'true', escape '\"', path '{path}')"
     )

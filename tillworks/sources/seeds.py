@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame, SparkSession
 
-from tillworks.sources.layers import Layers
 from tillworks.values import BUSINESS_UNITS, PRODUCT_CATEGORIES, RAW_DB
 
+if TYPE_CHECKING:
+    from tillworks.sources.layers import Layers
+
 SCHEMAS = {
     "business_units": "unit_name string, sort_order int",
     "product_categories": "category_name string, category_description string, sort_order int",
