@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from contextlib import contextmanager
 
 import pytest
@@ -182,3 +183,19 @@ def test_only_needed_columns_are_read(skewed):
     for line in text.splitlines():
         if "FileScan" in line and "stg_sales" in line:
             assert "customer_phone" not in line.split("Batched")[0] and "notes" not in line.split("Batched")[0]
+
+
+def test_products_in_all_months_read_sales_once(spark, skewed):
+    """The list of months comes from the shuffled arrays of the products themselves."""
+    df = build(skewed, "product_performance")
+    df.collect()
+    ran = plan(df)
+    assert ran.count("ReusedExchange") >= 1 and "isFinalPlan=true" in ran
+    scans = re.findall(r"\*\(\d+\) ColumnarToRow\s+[ :+-]*FileScan parquet \[[^\]]*\].*?stg_(\w+)\]", ran)
+    assert scans.count("sales") == 1 and scans.count("returns") == 1
+    assert "element_at" not in ran and "map_from_entries" not in ran
+
+
+@pytest.mark.parametrize("mart", marts.BUILDERS)
+def test_distinct_counts_do_not_multiply_rows(spark, skewed, mart):
+    assert "Expand" not in plan(build(skewed, mart))

@@ -62,16 +62,27 @@ def _by_month(df: DataFrame, date: str) -> DataFrame:
 
 def daily_sales_summary(sales: DataFrame, returns: DataFrame) -> DataFrame:
     """One row per day and unit; the NULL unit is a group of its own."""
-    sold = sales.groupBy("sale_date", "unit").agg(
+    keys = ["sale_date", "unit"]
+    # Two distinct counts in one aggregation would expand every sale into three rows. Persons are counted on the way of the
+    # sums, phones from a scan of three columns.
+    per_person = sales.groupBy(*keys, "salesperson_name").agg(
         F.count("*").alias("transaction_count"),
         F.sum("units_sold").alias("units_sold"),
-        fn.money_sum(F.col("gross_amount")).alias("gross_revenue"),
-        fn.money_sum(F.col("discount_amount")).alias("total_discounts"),
-        fn.money_sum(F.col("net_amount")).alias("net_revenue"),
+        F.sum("gross_amount").alias("gross_revenue"),
+        F.sum("discount_amount").alias("total_discounts"),
+        F.sum("net_amount").alias("net_revenue"),
         paid_by("payment_method", "M-Pesa", "net_amount").alias("mpesa_revenue"),
         paid_by("payment_method", "Bank", "net_amount").alias("bank_revenue"),
-        F.count_distinct("customer_phone").alias("unique_customers_with_phone"),
-        F.count_distinct("salesperson_name").alias("active_salespeople"),
+    )
+    money = [c for c in per_person.columns if "revenue" in c or c == "total_discounts"]
+    sold = per_person.groupBy(*keys).agg(
+        F.sum("transaction_count").alias("transaction_count"),
+        F.sum("units_sold").alias("units_sold"),
+        *(fn.money_sum(F.col(c)).alias(c) for c in money),
+        F.count("salesperson_name").alias("active_salespeople"),
+    )
+    phones = with_value(sales, "customer_phone").select(*keys, "customer_phone").distinct().groupBy(*keys).agg(
+        F.count("*").alias("unique_customers_with_phone")
     )
     returned = returns.groupBy(F.col("return_date").alias("sale_date"), "unit").agg(
         F.sum("units_returned").alias("units_returned"),
@@ -79,9 +90,10 @@ def daily_sales_summary(sales: DataFrame, returns: DataFrame) -> DataFrame:
         F.count("*").alias("return_transaction_count"),
     )
     day = F.col("sale_date")
-    measures = [c for c in (*sold.columns, *returned.columns) if c not in ("sale_date", "unit")]
+    parts = [sold, phones, returned]
+    measures = [c for part in parts for c in part.columns if c not in keys]
     return _finish(
-        combine([sold, returned], ["sale_date", "unit"]),
+        combine(parts, keys),
         "daily_sales_summary",
         measures,
         effective_revenue=_money(F.col("net_revenue") - F.col("returns_value")),
@@ -170,26 +182,26 @@ def inventory_position(
     )
 
 
-def _map_name(activity: DataFrame) -> str:
-    return "by_month_" + activity.columns[-1]
-
-
-def _months_in_a_map(activity: DataFrame) -> DataFrame:
-    """One row per product with a map from month to its measures: at most one entry per calendar month.
+def _dense_months(activity: DataFrame, products: DataFrame) -> DataFrame:
+    """Every product in every month that ``activity`` (one row per product and month) has for any product, and its measures.
 
-    Joined by product_key alone, so that the dense product-by-month rows are made after the join, where they need no
-    shuffle.
+    A product's months are one array, at most one entry per calendar month, joined by product_key alone. The dense rows are
+    made after the join, where they need no shuffle: its own entries and, without measures, the months it lacks. No entry is
+    searched for. The list of all months comes from the same shuffled arrays, so nothing is scanned or aggregated twice.
     """
-    measures = [c for c in activity.columns if c not in ("product_key", "month")]
-    entries = F.collect_list(F.struct("month", F.struct(*measures)))
-    return activity.groupBy("product_key").agg(F.map_from_entries(entries).alias(_map_name(activity)))
-
-
-def _measures_of_month(dense: DataFrame, activity: DataFrame) -> DataFrame:
-    """The row's month taken out of its map; NULL measures where the product had none."""
-    name = _map_name(activity)
-    others = [c for c in dense.columns if c != name]
-    return dense.withColumn(name, F.try_element_at(name, F.col("month"))).select(*others, f"{name}.*")
+    entry = F.struct(*(c for c in activity.columns if c != "product_key"))
+    # With a key that is never NULL (a blank is no key) the join filters nothing below, so both uses are the same shuffle.
+    key = F.coalesce("product_key", F.lit(" ")).alias("product_key")
+    arrays = activity.groupBy(key).agg(F.collect_list(entry).alias("entries"))
+    kind = arrays.schema["entries"].dataType.elementType
+    all_months = arrays.select(F.explode("entries").alias("e")).agg(F.sort_array(F.collect_set("e.month"))).scalar()
+    own = F.coalesce("entries", F.array().cast(arrays.schema["entries"].dataType))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in kind if f.name != "month"]
+    dense = left_lookup(products, arrays, "product_key").withColumn("entries", own).withColumn("months", all_months)
+    lacking = F.array_except("months", F.transform("entries", lambda e: e["month"]))
+    filled = F.transform(lacking, lambda m: F.struct(m.alias("month"), *nothing))
+    dense = dense.withColumn("entry", F.explode(F.concat("entries", filled)))
+    return dense.select(*products.columns, "entry.*")
 
 
 def product_performance(
@@ -223,16 +235,14 @@ def product_performance(
         F.sum("units_returned").alias("total_units_returned"),
         fn.money_sum(F.col("return_value")).alias("total_return_value"),
     )
-    months = with_month_of(union_distinct(sales.select("month"), returns.select("month")), as_of)  # of all products
-    dense = active_only(products)
-    for activity in (sold, returned):
-        dense = left_lookup(dense, _months_in_a_map(activity), "product_key")
-    dense = explode_spine(dense, months, "month")
-    for activity in (sold, returned):
-        dense = _measures_of_month(dense, activity)
-    measures = [c for part in (sold, returned) for c in part.columns if c not in ("product_key", "month")]
+    # The reporting month counts as active for a product that does not exist.
+    reporting = products.sparkSession.range(1).select(
+        F.lit(None).cast("string").alias("product_key"), fn.month_start(fn.as_of_date(as_of)).alias("month")
+    )
+    activity = combine([sold, returned, reporting], ["product_key", "month"])
+    measures = [c for c in activity.columns if c not in ("product_key", "month")]
     return _finish(
-        dense,
+        _dense_months(activity, active_only(products)),
         "product_performance",
         [m for m in measures if m not in ("first_sale_date", "last_sale_date")],
         current_selling_price=F.col("selling_price"),
