@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from testbed import queries_operators, queries_relations, queries_sources
+from testbed import queries_operators, queries_relations, queries_reports, queries_sources
 from testbed.oracle_base import with_layers
 from testbed.warehouse import Warehouse
 
-ALL = queries_sources.QUERIES | queries_operators.QUERIES | queries_relations.QUERIES
+ALL = queries_sources.QUERIES | queries_operators.QUERIES | queries_relations.QUERIES | queries_reports.QUERIES
 
 
 def _bind(build: Callable[[Warehouse], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:

@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
+import duckdb
 import pytest
 
 from testbed import registry
 from testbed.compare import compare, connect
+from tillworks.operators import ordering
 from tillworks.plans import dashboards, marts, staging
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +22,7 @@ SOME = [
 
 def test_every_query_has_sql_and_a_plain_name():
     assert registry.queries().keys() == registry.oracle_sql().keys()
-    assert dashboards.QUERIES.keys() <= registry.queries().keys() and len(registry.queries()) == 152
+    assert dashboards.QUERIES.keys() <= registry.queries().keys() and len(registry.queries()) >= 174
 
 
 @needs_data
@@ -30,6 +32,22 @@ def test_same_as_duckdb(spark, name):
     assert compare(df, connect(SF), registry.oracle_sql()[name]) is None
 
 
+@needs_data
+@pytest.mark.parametrize("name", ["order_pnl_table", "order_top10_products", "dash_low_stock_unbooked", "dq_stock_never_negative_unbooked"])
+def test_reports_have_rows_in_order(spark, name):
+    df = registry.queries()[name](spark, SF)
+    assert df.count() > 3 and compare(df, connect(SF), registry.oracle_sql()[name]) is None
+
+
+def test_a_broken_order_is_seen(spark):
+    rows = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b"), (None, "d")], "v int, k string")
+    sql = "SELECT v, row_number() OVER (ORDER BY v DESC NULLS LAST) AS position FROM (VALUES (3), (1), (2), (NULL)) t(v)"
+    right = ordering.numbered(ordering.sort_by(rows, "-v")).select("v", "position")
+    assert compare(right, duckdb.connect(), sql) is None
+    for wrong in (rows, ordering.sort_by(rows, "v")):
+        assert "differ" in compare(ordering.numbered(wrong).select("v", "position"), duckdb.connect(), sql)
+
+
 @needs_data
 def test_entry(spark):
     import __spark_entry__

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,3 +18,10 @@ def sort_by(df: DataFrame, *specs: str) -> DataFrame:
 def top_k(df: DataFrame, k: int, *specs: str) -> DataFrame:
     """First ``k`` rows; the specs should end in a unique column. Each task keeps k rows, the driver merges them."""
     return sort_by(df, *specs).limit(k)
+
+
+def numbered(report: DataFrame) -> DataFrame:
+    """The rows with their ``position`` (from 1) in the report's own order. For reports that someone reads: one task numbers
+    all rows."""
+    place = report.withColumn("position", F.monotonically_increasing_id())
+    return place.withColumn("position", F.row_number().over(Window.orderBy("position")).cast("long"))
