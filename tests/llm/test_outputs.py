@@ -294,7 +294,7 @@ def test_queries_with_sql(spark):
     import duckdb
 
     con = duckdb.connect()
-    for name in ("documents", "labels", "pages", "embeddings"):
+    for name in ("documents", "labels", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
     for name, sql in queries.oracle_sql().items():
         assert compare(queries.queries()[name](spark, SF), con, sql) is None, name
