@@ -200,40 +200,55 @@ def _row_rules(as_of: Column) -> dict[str, list[tuple[str, str, Column]]]:
     }
 
 
-def _row_checks(
+def _key_text(columns: Iterable[str]) -> Column:
+    """A text that is equal for two rows only if they are equal in all columns; NULLs count as equal."""
+    parts = [F.when(F.col(c).isNull(), "-").otherwise(F.concat(F.length(F.col(c).cast("string")), F.lit(":"), F.col(c))) for c in columns]
+    return F.concat(*parts)
+
+
+def _table_checks(
     df: DataFrame, table: str, checks: TableChecks, rules: list[tuple[str, str, Column]],
     products: DataFrame | None = None, costs: DataFrame | None = None,
-) -> DataFrame | None:
-    """All checks of a table that look at one row at a time, from one pass over it.
+) -> DataFrame:
+    """All checks of a table from one pass over it.
 
-    The table is first reduced to its combinations of accepted-value columns, product and price. Violating rows are
-    summed and strange values counted on those, and only those are joined with products and latest costs.
+    Each row is counted under what it says (the violated checks as bits, its strange values, product and price) and under
+    each of its keys, in one aggregation. Keys are exact, as texts; once they are counted, a second aggregation leaves one
+    row for all of them, so only the few combinations that the rows say are joined with products and latest costs.
     """
     violated = [("not_null", c, F.col(c).isNull()) for c in checks.not_null] + rules
-    if not violated and not checks.accepted:
-        return None
-    names = [f"rows_{i}" for i in range(len(violated))]
-    keys = [c for c, _ in checks.accepted]
-    keys += ["product_key"] * (products is not None) + ["unit_price"] * (costs is not None)
-    profile = df.groupBy(*keys).agg(
-        F.count("*").alias("n_records"), *(F.count_if(bad).alias(n) for n, (_, _, bad) in zip(names, violated))
+    keys = [("unique", c, F.when(F.col(c).isNotNull(), F.col(c).cast("string"))) for c in checks.unique]
+    keys += [("unique_combination", "+".join(cs), _key_text(cs)) for cs in checks.unique_combination]
+    bits = sum((F.when(bad, 1 << i).otherwise(0) for i, (_, _, bad) in enumerate(violated)), F.lit(0)).cast("int")
+    said = {f"odd_{c}": F.when(~F.col(c).isin(*values), F.col(c)) for c, values in checks.accepted}
+    said |= {"product_key": F.col("product_key")} if products is not None else {}
+    said |= {"unit_price": F.col("unit_price")} if costs is not None else {}
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.select(*(v.alias(c) for c, v in said.items())).schema] if said else []
+
+    def counted_as(tag: int, key: Column, bits: Column, values: list[Column]) -> Column:
+        return F.struct(F.lit(tag).alias("tag"), key.alias("key"), bits.alias("bits"), *values)
+
+    rows = [counted_as(0, F.lit(None).cast("string"), bits, [v.alias(c) for c, v in said.items()])]
+    rows += [counted_as(i, key, F.lit(0), nothing) for i, (_, _, key) in enumerate(keys, 1)]
+    counted = df.select(F.inline(F.array(*rows))).where("tag = 0 or key is not null")
+    counted = counted.groupBy("tag", "key", "bits", *said).agg(F.count("*").alias("n_records"))
+    profile = counted.groupBy("tag", "bits", *said).agg(
+        F.sum("n_records").alias("n_records"), F.count_if(F.col("n_records") > 1).alias("repeated")
     )
-    joined: list[tuple[str, str, Column]] = []
+    n = F.col("n_records")
+    failures = [(check, c, F.sum(F.when(F.col("bits").bitwiseAND(1 << i) != 0, n))) for i, (check, c, _) in enumerate(violated)]
+    failures += [("accepted_values", c, F.count_distinct(f"odd_{c}")) for c, _ in checks.accepted]
     if products is not None:
         profile = left_lookup(profile, products.select("product_key", F.lit(True).alias("known")), "product_key")
-        joined.append(("relationships", "product_key", F.col("known").isNull() & F.col("product_key").isNotNull()))
+        orphan = F.col("known").isNull() & F.col("product_key").isNotNull()
+        failures.append(("relationships", "product_key", F.sum(F.when(orphan, n))))
     if costs is not None:
         profile = left_lookup(profile, costs, "product_key")
-        joined.append(("sale_price_above_cost", "unit_price", F.col("unit_price") < F.col("latest_cost_price")))
-    lost = [F.coalesce(F.sum(F.when(bad, F.col("n_records"))), F.lit(0)).alias(check) for check, _, bad in joined]
-    failures = profile.agg(
-        *(F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names), *lost,
-        *(F.count_distinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(f"odd_{c}") for c, values in checks.accepted),
-    )
-    rows = [F.struct(*_result(table, check, c, F.col(n))) for n, (check, c, _) in zip(names, violated)]
-    rows += [F.struct(*_result(table, check, c, F.col(check))) for check, c, _ in joined]
-    rows += [F.struct(*_result(table, "accepted_values", c, F.col(f"odd_{c}"))) for c, _ in checks.accepted]
-    return failures.select(F.inline(F.array(*rows)))
+        failures.append(("sale_price_above_cost", "unit_price", F.sum(F.when(F.col("unit_price") < F.col("latest_cost_price"), n))))
+    failures += [(check, c, F.sum(F.when(F.col("tag") == i, F.col("repeated")))) for i, (check, c, _) in enumerate(keys, 1)]
+    names = [f"failures_{i}" for i in range(len(failures))]
+    one = profile.agg(*(F.coalesce(how, F.lit(0)).alias(name) for name, (_, _, how) in zip(names, failures)))
+    return one.select(F.inline(F.array(*(F.struct(*_result(table, check, c, F.col(name))) for name, (check, c, _) in zip(names, failures)))))
 
 
 def _result(table: str, check: str, column: str, failures: Column) -> list[Column]:
@@ -245,11 +260,6 @@ def _result(table: str, check: str, column: str, failures: Column) -> list[Colum
     ]
 
 
-def _counted(violations: DataFrame, table: str, check: str, column: str, how: Column | None = None) -> DataFrame:
-    failures = F.count("*") if how is None else F.coalesce(how, F.lit(0))
-    return violations.agg(*_result(table, check, column, failures))
-
-
 def suite_summary(read: Callable[[str], DataFrame], as_of: dt.date | None = None) -> DataFrame:
     """One row per declared check: ``(table_name, check_name, column_name, failures, status)``.
 
@@ -263,12 +273,6 @@ def suite_summary(read: Callable[[str], DataFrame], as_of: dt.date | None = None
         df = tables[table]
         products = tables["stg_products"] if checks.has_product else None
         costs = _latest_costs(tables["stg_inventory_purchases"]) if table == "stg_sales" else None
-        row_checks = _row_checks(df, table, checks, rules.get(table, []), products, costs)
-        results += [row_checks] if row_checks is not None else []
-        results += [_counted(unique(df, c), table, "unique", c) for c in checks.unique]
-        results += [
-            _counted(unique_combination(df, list(cs)), table, "unique_combination", "+".join(cs))
-            for cs in checks.unique_combination
-        ]
+        results.append(_table_checks(df, table, checks, rules.get(table, []), products, costs))
     status = F.when(F.col("failures") > 0, "warn").otherwise("pass").alias("status")
     return stack(results).select("*", status)
