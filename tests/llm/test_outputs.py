@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import tree_in_memory
 from test_minhash import table
 from tillworks.llm import mixing, packing, queries, sharding, suffix_tree, topk, warc
 from tillworks.llm.storage import open_folder
@@ -211,7 +212,7 @@ def test_top_k(spark, tmp_path, scale):
 def test_suffix_tree_probabilities_sum_to_one(spark, tmp_path):
     rng = random.Random(1)
     docs = [(i, " ".join(rng.choice(["a b c d", "b a", "x y", f"r{rng.randrange(999)}"]) for _ in range(40)), 1) for i in range(300)]
-    tree, counts = suffix_tree.learn(table(spark, tmp_path, docs, "doc_id long, text string, n int").select("text"), state_share=1e-3)
+    tree, counts = tree_in_memory.learn(table(spark, tmp_path, docs, "doc_id long, text string, n int").select("text"), state_share=1e-3)
     n = {np.uint64(r.key & (1 << 64) - 1): r.n for r in counts.collect()}
     assert sum(n.values()) == tree.tokens and len(n) == tree.distinct and len(tree.levels) == 2
     root = sum(math.exp(tree.root(np.array([c]))[0]) for c in n.values()) + math.exp(tree.root(np.array([0]))[0])
@@ -254,7 +255,7 @@ def test_scores_from_tables_are_those_of_the_tree_in_memory(spark, tmp_path, hea
     phrases = ["a b c d", "x b c e", "b a", "x y", "y c d a b c"]
     docs = [(i, " ".join(rng.choice([*phrases, f"r{rng.randrange(99)}"]) for _ in range(40))) for i in range(300)]
     df = table(spark, tmp_path, docs)
-    tree, counts = suffix_tree.learn(df.where(suffix_tree.remainder(F.col("doc_id")) != 2).select("text"), depth=3)
+    tree, counts = tree_in_memory.learn(df.where(suffix_tree.remainder(F.col("doc_id")) != 2).select("text"), depth=3)
     assert len(tree.levels) == 3 and all(len(level.contexts) for level in tree.levels)
     names = {r.key & (1 << 64) - 1: r.n for r in counts.collect()}
     out = {r.doc_id: r.score - r.base_score for r in suffix_tree.scored(df, head=head).collect()}
