@@ -6,8 +6,15 @@ import re
 from collections import Counter, defaultdict
 
 
+UNSPACED = (
+    "\u0e00-\u109f\u1780-\u17ff\u2e80-\u2fdf\u3005-\u3007\u3021-\u302f\u3031-\u303c\u3040-\u309f\u30a1-\u30fa\u30fc-\u312f"
+    "\u3190-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+)
+
+
 def words(text):
-    return re.findall(r"[^\W_]+", (text or "").lower())
+    """Runs of letters and digits; characters of scripts written without spaces stand alone."""
+    return re.findall(rf"[{UNSPACED}]|(?:(?![{UNSPACED}])[^\W_])+", (text or "").lower())
 
 
 def shingles(text, width=5):

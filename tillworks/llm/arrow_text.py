@@ -14,6 +14,16 @@ import pyarrow.compute as pc
 
 BASE = 0x9E6C63D0876A9A63
 SLICE_BYTES = 1 << 20
+# General, ideographic, vertical, small and full-width punctuation.
+SEPARATORS = (
+    (0x2000, 0x206F), (0x3000, 0x3004), (0x3008, 0x3020), (0x3030, 0x3030), (0x303D, 0x303F), (0x30A0, 0x30A0), (0x30FB, 0x30FB),
+    (0xFE10, 0xFE1F), (0xFE30, 0xFE6F), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65),
+)
+# Thai to Myanmar, Khmer, radicals, marks, kana and bopomofo, ideographs, their compatibility forms, half-width kana.
+UNSPACED = (
+    (0x0E00, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x312F), (0x3190, 0x9FFF), (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F),
+)
 
 
 def golden(k: int) -> np.uint64:
@@ -70,10 +80,12 @@ class Hasher:
         return mix(value + (ends - starts).astype(np.uint64) * golden(1))
 
 
-def spans_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of True, cut at row offsets, and the row of each."""
+def spans_of(inside: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of True, cut at row offsets and at ``cuts``, and the row of each."""
     edge = np.zeros(len(inside) + 1, bool)
     edge[offsets] = True
+    if cuts is not None:
+        edge[cuts] = True
     before = np.zeros(len(inside) + 1, bool)
     before[1:] = inside
     after = np.append(inside, False)
@@ -82,19 +94,33 @@ def spans_of(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def letters(data: np.ndarray) -> np.ndarray:
-    """True for bytes of letters and digits: ASCII alphanumerics and all of UTF-8's longer sequences but Latin-1's and
-    general punctuation (U+0080-00BF, U+2000-206F)."""
+def _within(code: np.ndarray, ranges: tuple[tuple[int, int], ...]) -> np.ndarray:
+    at = np.searchsorted([low for low, _ in ranges], code, "right") - 1
+    return (at >= 0) & (code <= np.array([high for _, high in ranges])[at])
+
+
+def letters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """True for bytes of letters and digits, and where words are cut within them.
+
+    ASCII alphanumerics and all of UTF-8's longer sequences but Latin-1's and ``SEPARATORS`` are letters. Scripts that are
+    written without spaces (``UNSPACED``) are cut before and after each character, so that each is a word.
+    """
     table = np.zeros(256, bool)
     table[48:58] = table[65:91] = table[97:123] = table[128:] = True
     inside = table[data]
     c2 = np.flatnonzero(data[:-1] == 0xC2)
     inside[c2] = inside[c2 + 1] = False
-    e2 = np.flatnonzero(data[:-2] == 0xE2)
-    general = e2[(data[e2 + 1] == 0x80) | ((data[e2 + 1] == 0x81) & (data[e2 + 2] <= 0xAF))]
+    lead = np.flatnonzero(data >= 0xE0)
+    four = data[lead] >= 0xF0
+    three, four = lead[~four], lead[four]
+    wide = data[three].astype(np.int64), data[three + 1].astype(np.int64), data[three + 2].astype(np.int64)
+    code = (wide[0] & 15) << 12 | (wide[1] & 63) << 6 | wide[2] & 63
+    between = _within(code, SEPARATORS)
     for k in range(3):
-        inside[general + k] = False
-    return inside
+        inside[three[between] + k] = False
+    alone = three[~between & _within(code, UNSPACED)]
+    ideographs = four[(data[four] == 0xF0) & (data[four + 1] >= 0xA0)]  # U+20000-3FFFF
+    return inside, np.concatenate([alone, alone + 3, ideographs, ideographs + 4])
 
 
 def lower_ascii(data: np.ndarray) -> np.ndarray:
@@ -104,8 +130,10 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, hasher: Hasher) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (runs of letters and digits) of lower-cased texts, and the offsets of each row's words."""
-    starts, ends, row = spans_of(letters(data), offsets)
+    """Hashes of the words (runs of letters and digits, single characters of unspaced scripts) of lower-cased texts, and the
+    offsets of each row's words."""
+    inside, cuts = letters(data)
+    starts, ends, row = spans_of(inside, offsets, cuts)
     return hasher.spans(data, starts, ends), np.searchsorted(row, np.arange(len(offsets)))
 
 
