@@ -48,6 +48,84 @@ def test_substitutions_and_odd_rows(spark, tmp_path):
     assert decontaminate.without_leaks(df, benchmark.limit(0)).count() == df.count()
 
 
+def overlap(doc, item, penalty=decontaminate.PENALTY):
+    """The most equal words of a stretch, on any diagonal, whose beginnings and ends all score above zero."""
+    most = 0
+    for shift in range(1 - len(item), len(doc)):
+        same = [doc[k] == item[k - shift] for k in range(max(shift, 0), min(len(doc), shift + len(item)))]
+        for a in range(len(same)):
+            now, peak, n = 0.0, 0.0, 0
+            for x in same[a:]:
+                now, n = now + (1 if x else -penalty), n + x
+                if now <= 0:
+                    break
+                if now > peak:
+                    peak, most = now, max(most, n)
+    return most
+
+
+def test_replaced_words_against_brute_force(spark, tmp_path):
+    rng = random.Random(11)
+    items = {i: [f"v{rng.randrange(60)}x{i}" for _ in range(n)] for i, n in enumerate((40, 25, 16, 13, 11, 10, 9, 7, 5, 4))}
+    docs = {}
+    for d in range(400):
+        item = items[rng.randrange(len(items))]
+        low = rng.randrange(max(1, len(item) - 9))
+        part = [w if rng.random() > rng.choice((0, 0.1, 0.25, 0.35)) else "other" for w in item[low : low + rng.randrange(4, 26)]]
+        before, after = ([f"n{rng.randrange(10**6)}" for _ in range(rng.randrange(12))] for _ in range(2))
+        docs[d] = before + part + after
+    docs[400] = items[0][:9] + ["other"] * 8 + items[0][17:23] + ["other"] * 2 + items[0][25:29]
+    bench = [(i, " ".join(w)) for i, w in items.items()]
+    df = table(spark, tmp_path, [(d, " ".join(w)) for d, w in docs.items()])
+    found = decontaminate.leaks(df, spark.createDataFrame(bench, "item_id long, text string")).collect()
+    want = {
+        (d, i): overlap(doc, item) for d, doc in docs.items() for i, item in items.items()
+        if len(item) >= decontaminate.LEAST_ITEM and overlap(doc, item) >= min(len(item), decontaminate.MIN_WORDS)
+    }
+    assert {(r.doc_id, r.item_id): r.equal_words for r in found} == want and len(want) > 100 and want[400, 0] == 10
+    assert {i for _, i in want} == set(range(9))
+
+
+def test_some_mask_fits_every_overlap():
+    """Walks over all alignments that no mask fits into: state is what masks still see, score, highest score and equal words.
+    None may reach a new highest score with ``MIN_WORDS`` equal words, which would be an overlap."""
+    masks, seen = [(int(m, 2), len(m)) for m in decontaminate.MASKS], set()
+    wide = max(n for _, n in masks) - 1
+    todo = [(1, 1, 1.0, 1.0, 1)]
+    while todo:
+        bits, n, now, peak, equal = todo.pop()
+        for same in (1, 0):
+            score, seen_bits = now + (1 if same else -decontaminate.PENALTY), bits << 1 | same
+            if score <= 0 or any(n + 1 >= m and seen_bits & mask == mask for mask, m in masks):
+                continue
+            words = min(equal + same, decontaminate.MIN_WORDS)
+            assert score <= peak or words < decontaminate.MIN_WORDS
+            state = (seen_bits & (1 << wide) - 1, min(n + 1, wide), score, max(score, peak), words)
+            if state not in seen:
+                seen.add(state)
+                todo.append(state)
+    assert len(seen) > 1000
+
+
+def test_seeds_do_not_depend_on_blocks():
+    words, offsets = np.arange(1000, dtype=np.uint64) % np.uint64(37), np.array([0, 3, 3, 500, 507, 1000])
+    whole, parts = ({(m, p, h) for at, hs, m in decontaminate.seeds(words, offsets, decontaminate.MASKS, most) for p, h in zip(at.tolist(), hs.tolist())}
+                    for most in (5000, 17))
+    assert whole == parts and len(whole) > 10_000
+
+
+def test_passages_in_scripts_without_spaces(spark, tmp_path):
+    chinese = "人工智能正在改变我们的生活方式和工作方法"
+    thai = "ภาษาไทยเขียนโดยไม่เว้นวรรคระหว่างคำ"
+    bench = spark.createDataFrame([(1, chinese), (2, thai)], "item_id long, text string")
+    docs = [
+        (1, f"他说：「{chinese}。」"), (2, f"今天，{chinese[:6]}、{chinese[7:]}很好"), (3, "今天天气很好，我们去公园散步吧。"), (4, f"คำ {thai} คำ"),
+        (5, "ประเทศของเรา"),
+    ]
+    found = decontaminate.leaks(table(spark, tmp_path, docs), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.equal_words) for r in found) == [(1, 1, 20), (2, 1, 13), (4, 2, len(thai))]
+
+
 def labelled(n=1500, seed=2):
     rng = random.Random(seed)
     syllables = ["ka", "lo", "mi", "tor", "en", "sa", "ri", "du"]
