@@ -39,6 +39,14 @@ def test_reports_have_rows_in_order(spark, name):
     assert df.count() > 3 and compare(df, connect(SF), registry.oracle_sql()[name]) is None
 
 
+@needs_data
+@pytest.mark.parametrize("name", ["upper_name", "parse_bool_flag"])
+def test_columns_that_differ_in_case_can_be_written(spark, tmp_path, name):
+    df = registry.queries()[name](spark, SF)
+    df.write.parquet(f"{tmp_path}/{name}")
+    assert compare(spark.read.parquet(f"{tmp_path}/{name}"), connect(SF), registry.oracle_sql()[name]) is None
+
+
 def test_a_broken_order_is_seen(spark):
     rows = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b"), (None, "d")], "v int, k string")
     sql = "SELECT v, row_number() OVER (ORDER BY v DESC NULLS LAST) AS position FROM (VALUES (3), (1), (2), (NULL)) t(v)"
