@@ -199,3 +199,41 @@ def test_products_in_all_months_read_sales_once(spark, skewed):
 @pytest.mark.parametrize("mart", marts.BUILDERS)
 def test_distinct_counts_do_not_multiply_rows(spark, skewed, mart):
     assert "Expand" not in plan(build(skewed, mart))
+
+
+def test_products_go_through_two_shuffles(spark, skewed):
+    """Sales and returns are summed per price, then sent to their product; the rest happens there."""
+    with settings(spark, NO_BROADCAST):
+        text = plan(build(skewed, "product_performance"))
+    keys = re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", text)
+    # Two of movements, one of products' costs, one of products; the list of months repeats the first three and reuses them.
+    assert 0 < len(keys) <= 7, keys
+    assert "product_performance" not in marts.PARTITION_BY  # its dense rows stay where they are made
+
+
+@pytest.mark.parametrize("mart", ["salesperson_performance", "customer_insights"])
+def test_days_are_counted_without_grouping_by_day(skewed, mart):
+    """Sales shuffle as one row per task, person or phone, and month."""
+    keys = re.findall(r"Exchange hashpartitioning\((.*?)\), ENSURE", plan(build(skewed, mart)))
+    assert keys and not any("sale_date" in k for k in keys)
+
+
+def test_days_of_a_month_with_and_without_dates(spark):
+    rows = [("a", dt.date(2025, 3, d)) for d in (1, 31, 31, 2)] + [("b", None), ("c", dt.date(2025, 1, 31)), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, d date")
+    got = df.groupBy("k").agg(marts._days_of_month("d").alias("n"), F.count_distinct("d").alias("m")).collect()
+    assert len(got) == 3 and all(r.n == r.m for r in got)
+
+
+def test_staging_keeps_no_copy_of_raw_rows(spark, tmp_path):
+    """Raw rows that only staging reads are not stored, and layer tables are packed densely."""
+    from testbed.warehouse import Warehouse
+    from tillworks.values import RAW_DB, STAGING_DB
+
+    w = Warehouse(spark, "/root/testdata/sf0.001")
+    w.folder = str(tmp_path)
+    w.layers = type(w.layers)(spark, str(tmp_path), "plans_")
+    assert w.staging("stg_expenses").count() > 0
+    assert not w.layers.exists(RAW_DB, "expenses_raw")
+    assert w.staging("stg_expenses").inputFiles() and all("zstd" in f for f in w.staging("stg_expenses").inputFiles())
+    assert w.layers.exists(STAGING_DB, "stg_expenses")
