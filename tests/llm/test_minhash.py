@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,6 +21,16 @@ def table(spark, tmp_path, rows, schema="doc_id long, text string"):
     return spark.read.parquet(path)
 
 
+def components(n, links):
+    """The smallest number of the component of each."""
+    root, before = list(range(n)), None
+    while root != before:
+        before = list(root)
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
 def found(df, **options):
     return {r.doc_id: r.class_id for r in minhash.near_duplicates(df, **options).collect()}
 
@@ -54,6 +65,49 @@ def test_copies_around_one_text(spark, tmp_path, pairs_up_to):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_links_deep_in_a_large_bucket(spark, tmp_path, monkeypatch):
+    """Many texts that are alike and below the threshold, among them pairs just above it; blocks smaller than the group."""
+    monkeypatch.setattr(minhash, "BLOCK_NODES", 64, raising=False)
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(400)]
+
+    def edited(text, at):
+        return [f"e{rng.randrange(10**12)}" if k in at else w for k, w in enumerate(text)]
+
+    texts = []
+    for _ in range(300):
+        far = edited(base, rng.sample(range(400), 6))
+        first = rng.randrange(362)
+        texts += [far, edited(far, range(first, first + 37))]
+    sets = [{tuple(t[k : k + 5]) for k in range(396)} for t in texts]
+    pairs = ((i, j, len(sets[i] & sets[j])) for i in range(len(sets)) for j in range(i))
+    want = components(len(texts), [(i, j) for i, j, both in pairs if both >= 0.8 * (2 * 396 - both)])
+    assert 200 < len(set(want)) < 300
+    got = found(table(spark, tmp_path, [(i, " ".join(t)) for i, t in enumerate(texts)]))
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def test_blocks_join_what_all_pairs_join():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2**63, 90).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[: rng.integers(40, 90)], rng.integers(0, 2**63, 8).astype(np.uint64)])) for _ in range(60)]
+    root, second = np.arange(60) // 2, np.arange(60) % 3 == 0
+    for threshold in (0.7, 0.8):
+        for alone in (True, False):
+            part = second & (not alone)
+            want = {
+                (root[i], root[j]) for i in range(60) for j in range(60)
+                if root[i] != root[j] and (alone or part[i] < part[j])
+                and (both := len(np.intersect1d(sets[i], sets[j]))) >= threshold * (len(sets[i]) + len(sets[j]) - both)
+            }
+            table = pa.table({
+                "node": np.arange(60), "root": root, "second": part, "units": pa.array([x.tobytes() for x in sets], pa.binary()),
+            })
+            links = minhash._links_of_blocks(threshold)((0, 1, 0, 1, 0 if alone else 1), table).to_pylist()
+            assert all((root[x["a"]], root[x["b"]]) in want or (root[x["b"]], root[x["a"]]) in want for x in links)
+            assert components(30, [(root[x["a"]], root[x["b"]]) for x in links]) == components(30, want) != list(range(30))
+
+
 def test_odd_rows(spark, tmp_path):
     long = " ".join(f"t{k % 977}" for k in range(50_000))
     rows = [

@@ -10,11 +10,12 @@ Documents with equal words are one node. Nodes that share a band are linked afte
 
 1. Each bucket's members are compared with its centre, the member that meets most others in all its buckets.
 2. In a small bucket whose members are still in different components, those are all compared with each other.
-3. The nodes of large ones get new signatures and are sorted by them, several times; those that are next to each other are
-   compared if they are in different components (``_neighbours``).
+3. So are those of large ones, but block by block within tasks (``_in_blocks``): a row for each node and block that it
+   meets, never one for each pair.
 
-Each step makes a number of rows that is linear in the nodes. The last one may miss links between members of a large group that
-are both unlike its centre; a link that it misses matters only if no other path joins the two.
+Every two nodes that share a band are compared unless they are in one component by then. The first two steps make a number of
+rows that is linear in the nodes. The work of the last grows with the square of a large group of texts that are alike and yet
+below the threshold; its memory does not.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.llm.arrow_text import Hasher, golden, long_lists, mix, row_of, slices, word_hashes
@@ -35,7 +36,7 @@ from tillworks.llm.storage import stored, unused
 WIDTH, THRESHOLD = 5, 0.8
 PAIRS_UP_TO = 32
 BANDS, BAND_ROWS = 28, 5  # a pair at 0.8 shares no band with probability 1.5e-5
-TREES, DEPTH, REACH, ROUNDS = 12, 8, 3, 2  # sorts of the nodes of large buckets, coordinates in their keys, neighbours compared
+BLOCK_NODES, BLOCK_UNITS, COLUMNS = 1024, 1 << 19, 1024  # of a block in a large group, about; units counted at a time
 
 
 def keys_and_shingles(data: np.ndarray, offsets: np.ndarray, width: int, hasher: Hasher):
@@ -162,44 +163,75 @@ def _similar(threshold: float):
     return run
 
 
-def _sort_keys(trees: int, depth: int, seed: int):
-    """For each node and tree, ``depth`` coordinates of a new signature as one binary key."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, len(batch), 256):
-                part = batch.slice(first, 256)
-                sets = list(_sets(part.column("units")))
-                rows = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-                elements = mix(np.concatenate(sets) + golden(seed))
-                names = (throw(elements, rows, len(sets), trees * depth) & np.uint64(0xFFFFFFFF)).astype(">u4")
-                keys = names.reshape(-1, trees, depth).swapaxes(0, 1).reshape(-1, depth)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(np.arange(trees, dtype=np.int32), len(sets))), pa.array([k.tobytes() for k in keys], pa.binary()),
-                     *(pa.concat_arrays([part.column(c)] * trees) for c in ("node", "root"))],
-                    ["tree", "key", "node", "root"],
-                )
-
-    return run
-
-
-def _adjacent(reach: int):
-    """Pairs of nodes up to ``reach`` places apart in a sorted partition, of one tree and with different roots."""
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros((3, 0), np.int64)
-        for batch in batches:
-            held = np.concatenate([held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("tree", "node", "root")])], 1)
-            old = held.shape[1] - len(batch)
-            pairs = []
-            for k in range(1, reach + 1):
-                tree, node, root = held
-                at = np.arange(max(old - k, 0), held.shape[1] - k)
-                at = at[(at + k >= old) & (tree[at] == tree[at + k]) & (root[at] != root[at + k])]
-                pairs.append(np.stack([node[at], node[at + k]]))
-            found = np.unique(np.sort(np.concatenate(pairs, 1), 0), axis=1)
-            held = held[:, -reach:]
-            yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["a", "b"])
+def _repeated(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places of the sets that can be similar to another one, and those of their units that another of them holds, as pairs
+    of an index into the places and a number."""
+    size = np.array([len(x) for x in sets])
+    live, units, rows = np.arange(len(sets)), np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    while True:
+        names, count = np.unique(units, return_inverse=True, return_counts=True)[1:]
+        shared = count[names] > 1
+        enough = np.bincount(rows[shared], minlength=len(sets)) >= threshold * size
+        before, live = len(live), live[enough[live]]
+        keep = shared & enough[rows]
+        units, rows = units[keep], rows[keep]
+        if len(live) == before:
+            return live, np.searchsorted(live, rows), np.unique(units, return_inverse=True)[1]
+
+
+def _overlaps(rows: np.ndarray, names: np.ndarray, one: np.ndarray, two: np.ndarray, n: int) -> np.ndarray:
+    """How many units each of the sets ``one`` shares with each of ``two``, of n sets."""
+    both = np.zeros((len(one), len(two)))
+    order = np.argsort(names)
+    rows, names = rows[order], names[order]
+    for first in range(0, names[-1] + 1 if len(names) else 0, COLUMNS):
+        at, end = np.searchsorted(names, [first, first + COLUMNS])
+        held = np.zeros((n, COLUMNS), np.float32)
+        held[rows[at:end], names[at:end] - first] = 1
+        both += held[one] @ held[two].T
+    return both
+
+
+def _spanning(pairs: np.ndarray) -> list[int]:
+    """The places of those pairs that join what no earlier one has joined."""
+    up, out = {}, []
+
+    def top(x: int) -> int:
+        while (parent := up.get(x, x)) != x:
+            up[x] = up.get(parent, parent)
+            x = parent
+        return x
+
+    for place, (a, b) in enumerate(pairs.tolist()):
+        if (a := top(a)) != (b := top(b)):
+            up[a] = b
+            out.append(place)
+    return out
+
+
+def _links_of_blocks(threshold: float):
+    """Links between similar nodes of two blocks, or within one; no more than join their roots."""
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        node, root, second = (table.column(c).to_numpy() for c in ("node", "root", "second"))
+        sets = [x for chunk in table.column("units").chunks for x in _sets(chunk)]
+        none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        if (root == root[0]).all():
+            return none
+        live, rows, names = _repeated(sets, threshold)
+        one, two = np.flatnonzero(~second[live]), np.flatnonzero(second[live])
+        if (key[1], key[2]) == (key[3], key[4]):
+            two = one
+        size = np.array([len(x) for x in sets])[live]
+        both = _overlaps(rows, names, one, two, len(live))
+        near = both >= threshold * (size[one][:, None] + size[two] - both)
+        i, j = (live[k[at]] for k, at in zip((one, two), np.nonzero(near & (root[live[one]][:, None] != root[live[two]]))))
+        if not len(i):
+            return none
+        roots, first = np.unique(np.stack([root[i], root[j]], 1), axis=0, return_index=True)
+        first = first[_spanning(roots)]
+        a, b = node[i[first]], node[j[first]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return run
 
@@ -216,18 +248,42 @@ def _verified(pairs: DataFrame, units: DataFrame, threshold: float) -> DataFrame
     return _with_units(pairs, units).where(near).mapInArrow(_similar(threshold), "a long, b long")
 
 
-def _neighbours(nodes: DataFrame, units: DataFrame, seed: int, trees: int, depth: int, reach: int) -> DataFrame:
-    """Candidate pairs among nodes with different roots: those that are close to each other when sorted by new signatures.
+def _in_blocks(members: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """Links between the members (bucket, node, root) of buckets, so many that they join all similar ones with different roots.
 
-    Nodes that agree in more leading coordinates are sorted closer together, whatever the size of their group. Partitions are
-    ranges of the sort; a pair that a bound separates in one tree is together in others.
+    Buckets with a common member are one group, so that two nodes that meet in many buckets are compared once. A group is
+    dealt into blocks by size, a class of sizes being so wide that a set can only be similar to one of its own class or the
+    next, and each such pair of blocks is a task's work.
     """
-    keys = nodes.select("node", "root").join(units, "node").mapInArrow(
-        _sort_keys(trees, depth, seed), "tree int, key binary, node long, root long"
+    least = members.groupBy("bucket").agg(F.min("node").alias("b"))
+    groups = components(members.join(least, "bucket").select(F.col("node").alias("a"), "b").distinct())
+    nodes = members.select("node", "root").distinct().join(groups.withColumnRenamed("root", "group"), "node").join(units, "node")
+    n = F.length("units") / 8
+    nodes = nodes.withColumn("size", F.floor(F.log(n) / (math.log(1 / threshold) + 1e-6)))
+    parts = F.ceil(F.greatest(F.count("*") / BLOCK_NODES, F.sum(n) / BLOCK_UNITS)).alias("parts")
+    dealt = nodes.groupBy("group", "size").agg(parts)
+    dealt = stored(dealt.groupBy("group").agg(F.map_from_entries(F.collect_list(F.struct("size", "parts"))).alias("parts")), "blocks")
+    nodes = nodes.join(dealt, "group")
+    part = F.pmod(F.xxhash64("node"), F.element_at("parts", F.col("size")))
+
+    def met(step: int, block) -> Column:
+        """Pairs of the node's block and those of a class of sizes."""
+        there = F.coalesce(F.element_at("parts", F.col("size") + step), F.lit(0))
+        return F.transform(F.filter(F.sequence(F.lit(0).cast("long"), there), lambda q: q < there), block)
+
+    def pair(one: Column, p: Column, two: Column, q: Column) -> Column:
+        return F.struct(one.alias("one"), p.alias("p"), two.alias("two"), q.alias("q"))
+
+    size = F.col("size")
+    blocks = F.concat(
+        met(0, lambda q: pair(size, F.least(part, q), size, F.greatest(part, q))),
+        met(1, lambda q: pair(size, part, size + 1, q)),
+        met(-1, lambda q: pair(size - 1, q, size, part)),
+    )
+    meeting = nodes.withColumn("block", F.explode(blocks)).select(
+        "group", "block.*", "node", "root", "units", ((size != F.col("block.one")) | (part != F.col("block.p"))).alias("second")
     )
-    keys = stored(keys, "sort-keys")
-    sorted_ = keys.repartitionByRange("tree", "key", "node").sortWithinPartitions("tree", "key", "node")
-    return sorted_.mapInArrow(_adjacent(reach), "a long, b long").distinct()
+    return meeting.groupBy("group", "one", "p", "two", "q").applyInArrow(_links_of_blocks(threshold), "a long, b long")
 
 
 def _pair(one: str, other: str) -> list:
@@ -243,7 +299,7 @@ def near_duplicates(
 
     ``row_id`` is ``monotonically_increasing_id()`` of the table's scan. Exactly one row of each class is ``kept``: that
     with the smallest doc_id (null last), then row_id. ``pairs_up_to`` is the size up to which a bucket's members are simply
-    paired. Null text reads as empty; texts without any word are alike only if
+    paired; those of larger ones are compared in blocks. Null text reads as empty; texts without any word are alike only if
     equal. Repeated rows are one class. Further columns are ignored. An empty table gives an empty result.
     """
     source = docs.select("doc_id", "text").withColumn("row_id", F.monotonically_increasing_id())
@@ -281,16 +337,13 @@ def near_duplicates(
     other = small.select("bucket", F.col("node").alias("other"), F.col("root").alias("other_root"))
     rest = small.join(other, "bucket").where("root < other_root").select(*_pair("node", "other")).distinct()
     rest = rest.join(spokes, ["a", "b"], "left_anti")
-    large = stored(split.where(F.col("size") > pairs_up_to).select("node", "root").distinct(), "crowd")
-    for k in range(ROUNDS):
-        rest = rest.unionByName(_neighbours(large, sets, k + 1, TREES, DEPTH, REACH)).distinct() if not large.isEmpty() else rest
-        more = stored(_verified(rest, sets, threshold), "links")
-        if more.isEmpty():
-            break
-        links = links.unionByName(more)
-        roots = components(links)
-        large = large.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        rest = rest.limit(0)
+    more = _verified(rest, sets, threshold)
+    large = stored(split.where(F.col("size") > pairs_up_to).select("bucket", "node", "root"), "crowd")
+    if not large.isEmpty():
+        more = more.unionByName(_in_blocks(large, sets, threshold))
+    more = stored(more, "links")
+    if not more.isEmpty():
+        roots = components(links.unionByName(more))
 
     classed = nodes.join(roots, "node", "left").select("row_id", "doc_id", F.coalesce("root", "node").alias("root"))
     classes = classed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
