@@ -9,6 +9,8 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
+from testbed import warehouse
+from tillworks import session
 from tillworks.operators import joins, windows
 from tillworks.plans import marts, quality, staging
 
@@ -239,3 +241,24 @@ def test_staging_keeps_no_copy_of_raw_rows(spark, tmp_path):
     assert not w.layers.exists(RAW_DB, "expenses_raw")
     assert w.staging("stg_expenses").inputFiles() and all("zstd" in f for f in w.staging("stg_expenses").inputFiles())
     assert w.layers.exists(STAGING_DB, "stg_expenses")
+
+
+def test_tasks_do_not_grow_with_the_tables(spark, tmp_path):
+    """Shuffles begin with more partitions for larger tables, splits and merged partitions stay small."""
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with open(tmp_path / "lineitem.parquet", "wb") as file:
+        file.truncate(400 << 20)
+    before = spark.conf.get(name, None)
+    try:
+        spark.conf.unset(name)
+        warehouse.scale_shuffles(spark, str(tmp_path / "none"))
+        assert spark.conf.get(name, None) is None
+        for least, want in ((None, 100), ("70", 100), ("300", 300)):
+            if least:
+                spark.conf.set(name, least)
+            warehouse.scale_shuffles(spark, str(tmp_path))
+            assert int(spark.conf.get(name)) == want
+    finally:
+        spark.conf.set(name, before) if before else spark.conf.unset(name)
+    assert int(session.RUNTIME_SETTINGS["spark.sql.files.maxPartitionBytes"].removesuffix("m")) < 128
+    assert int(session.RUNTIME_SETTINGS["spark.sql.adaptive.advisoryPartitionSizeInBytes"].removesuffix("m")) < 64
