@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 from brute import words
+from tillworks.llm import components as module
 from tillworks.llm.arrow_text import Hasher, slices, word_hashes
 from tillworks.llm.bits import BitFilter
 from tillworks.llm.components import components
@@ -52,3 +53,22 @@ def test_components_of_a_chain_a_star_and_repeated_links(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {k: 1 for k in range(1, 41)} | {k: 100 for k in range(100, 130)} | {200: 200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_components_meet_all_links_in_one_round_only(spark, monkeypatch):
+    """A large group with many links a node: later rounds have only the links between what is still apart."""
+    links, stored = [], module.stored
+
+    def counted(df, name):
+        out = stored(df, name)
+        if name == "links":
+            links.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "stored", counted)
+    rng = np.random.default_rng(4)
+    nodes = rng.permutation(10**6)[:400]
+    pairs = {(int(nodes[i]), int(nodes[j])) for i, j in rng.integers(0, 400, (4000, 2)) if i < j}
+    got = {r.node: r.root for r in components(spark.createDataFrame(sorted(pairs), "a long, b long")).collect()}
+    assert got == {x: min(got) for x in got} and set(got) == {x for p in pairs for x in p}
+    assert links[0] == len(pairs) and sum(links[1:]) < len(pairs) / 4 and links[-1] == 0
