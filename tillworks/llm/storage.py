@@ -15,16 +15,26 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tillworks-llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
     """Write a table and read it back: later jobs neither recompute it nor depend on the executors that made it.
 
-    Its size is then known, so that Spark broadcasts it in a join only if it is below the session's threshold.
+    Its size is then known, so that Spark broadcasts it in a join only if it is below the session's threshold. The path is
+    added to ``paths``, for ``discard``.
     """
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete stored tables that no later job reads."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """The name, lengthened until no column of the table has it."""
     taken = {c.lower() for c in df.columns}

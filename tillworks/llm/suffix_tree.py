@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tillworks.llm.arrow_text import Hasher, golden, lower_ascii, mix, slices, spans_of
 from tillworks.llm.bits import BitFilter
-from tillworks.llm.storage import stored
+from tillworks.llm.storage import discard, stored
 
 DEPTH = 3  # words of the longest context
 WORD_SHARE, LEAST_SYMBOL = 1e-6, 4  # share of all tokens that a state's symbol needs, and the count that is always enough
@@ -111,10 +111,10 @@ def _frequent(counted: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]
     return key[order], n[order]
 
 
-def _words(texts: DataFrame) -> tuple[DataFrame, int, int]:
+def _words(texts: DataFrame, paths: list[str] | None = None) -> tuple[DataFrame, int, int]:
     """Stored counts ``n`` of all word hashes ``key``, and the numbers of tokens and of words."""
     counts = texts.mapInArrow(_count_words, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "word-counts")
+    counts = stored(counts, "word-counts", paths)
     return counts, *(int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
 
 
@@ -177,21 +177,26 @@ class GramTally(Tally):
     def rest(self) -> Iterator[pa.RecordBatch]:
         if self.size:
             self._merge()
-            _, context, up, n = self.parts[0]
+            gram, context, up, n = self.parts[0]
+            packed = gram < HASHED  # says both
             yield pa.RecordBatch.from_arrays(
-                [pa.array(context.view(np.int64)), pa.array(up.view(np.int64)), pa.array(n)], ["context", "up", "n"])
+                [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64), mask=packed), pa.array(up.view(np.int64), mask=packed), pa.array(n)],
+                ["gram", "context", "up", "n"],
+            )
         self.parts, self.size = [], 0
 
 
-def _count_grams(shared, contexts, k: int):
-    """Counts of (context, last k words) of all tokens whose k words before them may be a frequent context."""
+def _count_grams(shared, filters, k: int):
+    """Counts of the grams (context, last k words) of all tokens whose k words before them may be a frequent context and whose last k
+    words may be frequent enough for a symbol: a gram is never more frequent than its last words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, members, tally = shared.value[0], contexts.value, GramTally(k)
+        frequent, (members, lasts), tally = shared.value[0], filters.value, GramTally(k)
         for _, _, words, offsets in _texts(batches):
             for inside, context, up, gram in _grams(_coded(words, _search(frequent, words)), offsets, k):
                 pass
             used = inside[members.holds(context[inside])]
+            used = used[lasts.holds(up[used])]
             yield from tally.take(context[used], up[used], gram[used])
         yield from tally.rest()
 
@@ -208,16 +213,6 @@ def _name_words(shared):
     return run
 
 
-def _name_grams(k: int):
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            context, up = (batch.column(c).to_numpy().view(np.uint64) for c in ("context", "up"))
-            gram = pa.array(_gram(context, up, k).view(np.int64))
-            yield pa.RecordBatch.from_arrays([gram, *(batch.column(c) for c in ("context", "up", "n"))], ["gram", "context", "up", "n"])
-
-    return run
-
-
 def _head(df: DataFrame, most: int = HEAD) -> int:
     """The least ``n`` that at most ``most`` rows, and a quarter of them, reach."""
     sizes = sorted(((r.n, r.rows) for r in df.groupBy("n").agg(F.count("*").alias("rows")).collect()), reverse=True)
@@ -242,8 +237,8 @@ def weights(
     ``n`` is how often it occurs. A context needs a share of all tokens, but never more than ``least_state`` of them; so do
     symbols of states.
     """
-    spark = texts.sparkSession
-    counts, tokens, distinct = _words(texts)
+    spark, paths = texts.sparkSession, []
+    counts, tokens, distinct = _words(texts, paths)
     frequent = _frequent(counts, _head(counts, head))
     shared = spark.sparkContext.broadcast(frequent)
     least_state, least_symbol = (
@@ -251,7 +246,7 @@ def weights(
     )
     unseen = float(tokens + distinct + 1)
     lower = counts.mapInArrow(_name_words(shared), "gram long, n long").withColumn("chance", F.log((F.col("n") + 1) / F.lit(unseen)))
-    lower = stored(lower, "words")
+    lower = stored(lower, "words", paths)
     rare = lower.where("gram < 0")
     out = [rare.select(F.col("gram").alias("key"), (F.col("chance") + float(np.log(unseen))).alias("weight"), "n", F.lit(True).alias("word"))]
     grams = lower
@@ -260,28 +255,36 @@ def weights(
         members = BitFilter.gather(contexts, "context", FILTER_BITS)
         if not members.words.any():
             break
-        counted = texts.mapInArrow(_count_grams(shared, spark.sparkContext.broadcast(members), k), "context long, up long, n long")
-        counted = counted.groupBy("context", "up").agg(F.sum("n").alias("n")).where(F.col("n") >= least_symbol)
-        counted = counted.mapInArrow(_name_grams(k), "gram long, context long, up long, n long")
+        lasts = BitFilter.gather(grams.where(F.col("n") >= least_symbol), "gram", FILTER_BITS)
+        filters = spark.sparkContext.broadcast((members, lasts))
+        counted = texts.mapInArrow(_count_grams(shared, filters, k), "gram long, context long, up long, n long")
+        # A task's grams are distinct and sorted, so they are shuffled as they are: in that order they compress best.
+        counted = counted.repartition("gram").groupBy("gram", "context", "up").agg(F.sum("n").alias("n")).where(F.col("n") >= least_symbol)
+        counted = counted.withColumns({
+            "context": F.coalesce("context", F.shiftright("gram", ID_BITS)),
+            "up": F.coalesce("up", F.col("gram").bitwiseAND(F.lit((1 << k * ID_BITS) - 1))),
+        })
         above = lower.select(F.col("gram").alias("up"), F.col("chance").alias("expected"))  # none: the parent is no state
         grams = counted.join(contexts, "context").join(above, "up", "left").drop("up")
         grams = grams.withColumn("gain", F.log(F.col("n") / F.col("total")) - F.col("expected"))
-        grams = stored(grams.withColumn("own", F.col("n") * F.col("gain") >= significant), f"grams-{k}")
+        grams = stored(grams.withColumn("own", F.col("n") * F.col("gain") >= significant), f"grams-{k}", paths)
         chance = (F.col("n") + PRIOR * F.exp("expected")) / (F.col("total") + PRIOR)
         states = grams.where("own").groupBy("context").agg(
             F.max("total").alias("n"), F.sum(F.col("n") / F.col("total") * F.col("gain")).alias("spread"),
             F.log(F.greatest(1 - F.sum(chance), F.lit(1e-12)) / F.greatest(1 - F.sum(F.exp("expected")), F.lit(1e-12))).alias("spare"),
         )
-        states = stored(states.where(F.col("spread") >= divergence).drop("spread"), f"states-{k}")
+        states = stored(states.where(F.col("spread") >= divergence).drop("spread"), f"states-{k}", paths)
         inside = grams.where("expected is not null").join(states.select("context", "spare"), "context")
         inside = inside.withColumn("others", F.col("expected") + F.col("spare"))
         inside = inside.withColumn("chance", F.when(F.col("own"), F.log(chance)).otherwise(F.col("others")))
-        lower = stored(inside.select("gram", "n", "own", "others", "chance"), f"level-{k}")
+        lower = stored(inside.select("gram", "n", "own", "others", "chance"), f"level-{k}", paths)
         salted = F.col("context").bitwiseXOR(F.lit(int(STATE)))
         own = lower.where("own")
         out.append(states.select(salted.alias("key"), F.col("spare").alias("weight"), "n", F.lit(False).alias("word")))
         out.append(own.select(F.col("gram").alias("key"), (F.col("chance") - F.col("others")).alias("weight"), "n", F.lit(False).alias("word")))
-    return stored(reduce(DataFrame.unionByName, out), "weights"), frequent, tokens, distinct
+    table = stored(reduce(DataFrame.unionByName, out), "weights")
+    discard(spark, paths)
+    return table, frequent, tokens, distinct
 
 
 def _scorer(shared, depth: int):
@@ -322,26 +325,34 @@ def _scorer(shared, depth: int):
                 order = np.lexsort((key, key_row))
                 key, key_row = key[order], key_row[order]
                 new = np.append(True, (np.diff(key) != 0) | (np.diff(key_row) != 0))[: len(key)]
-                lists = np.append(0, np.cumsum(np.bincount(key_row[new], minlength=n)))
                 times = np.diff(np.append(np.flatnonzero(new), len(key)))
-                yield pa.RecordBatch.from_arrays(
+                row_id = batch.column("row_id").slice(first, n).to_numpy()
+                own = pa.StructArray.from_arrays(
                     [
-                        batch.column("row_id").slice(first, n), batch.column("doc_id").slice(first, n),
-                        batch.column("held_out").slice(first, n), pa.array(np.diff(at)),
+                        batch.column("doc_id").slice(first, n), batch.column("held_out").slice(first, n), pa.array(np.diff(at)),
                         pa.array(np.bincount(row[known], minlength=n)), pa.array(np.bincount(row, root, n)),
                         pa.array(np.bincount(row, gain, n)),
-                        pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(key[new].view(np.int64))),
-                        pa.ListArray.from_arrays(lists.astype(np.int32), pa.array(times)),
                     ],
-                    ["row_id", "doc_id", "held_out", "n_tokens", "n_frequent", "base", "gain", "keys", "times"],
+                    ["doc_id", "held_out", "n_tokens", "n_frequent", "base", "gain"],
+                )
+                names = ["row_id", "key", "times", "own"]
+                spread = pa.array(mix(row_id.view(np.uint64)).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(row_id), spread, pa.array(np.zeros(n, np.int64)), own], names)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row_id[key_row[new]]), pa.array(key[new].view(np.int64)), pa.array(times),
+                        pa.nulls(len(times), own.type),
+                    ],
+                    names,
                 )
 
     return run
 
 
+# One row for each row's own sums, with no times of any key, and one for each of its keys.
 _SCORED = (
-    "row_id long, doc_id long, held_out boolean, n_tokens long, n_frequent long, base double, gain double, "
-    "keys array<long>, times array<long>"
+    "row_id long, key long, times long, "
+    "own struct<doc_id: long, held_out: boolean, n_tokens: long, n_frequent: long, base: double, gain: double>"
 )
 
 
@@ -369,18 +380,16 @@ def scored(docs: DataFrame, **options) -> DataFrame:
     members = BitFilter.gather(table.where("not word"), "key", FILTER_BITS)
     shared = spark.sparkContext.broadcast(((*frequent, tokens + distinct + 1), (key[order], weight[order]), members))
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", held_out.alias("held_out"), "text")
-    rows = stored(source.mapInArrow(_scorer(shared, depth), _SCORED), "scored-frequent")
-
-    each = rows.select("row_id", F.explode(F.arrays_zip("keys", "times")).alias("w"))
-    each = each.select("row_id", F.col("w.keys").alias("key"), F.col("w.times").alias("times")).join(table, "key")
+    parts = source.mapInArrow(_scorer(shared, depth), _SCORED).join(table.select("key", "weight", "word"), "key", "left")
     added = F.col("times") * F.col("weight")
-    rest = each.groupBy("row_id").agg(
+    rows = parts.groupBy("row_id").agg(
+        *(F.max(f"own.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_frequent", "base", "gain")),
         F.sum(F.when(F.col("word"), F.col("times"))).alias("known"), F.sum(F.when(F.col("word"), added)).alias("rare_base"),
         F.sum(F.when(~F.col("word"), added)).alias("rare_gain"),
     )
     base = (F.col("base") + F.coalesce("rare_base", F.lit(0.0))) / float(np.log(10))
     gain = (F.col("gain") + F.coalesce("rare_gain", F.lit(0.0))) / float(np.log(10))
-    return rows.join(rest, "row_id", "left").select(
+    return rows.select(
         "doc_id", "held_out", "n_tokens", (F.col("n_frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + gain).alias("score"),
     )
