@@ -62,3 +62,35 @@ def test_entry(spark):
 
     df = __spark_entry__.entry(spark)
     assert df.columns == marts.COLUMNS["monthly_profit"] and df.count() > 0
+
+
+def test_keys_are_checked_without_building_tables(spark, tmp_path):
+    from testbed.queries_relations import dq_unique
+    from testbed.warehouse import Warehouse
+
+    tables = {
+        "nation": ("n_nationkey int, n_name string", [(1, "KENYA")]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(1, "Ann")]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int", [(1, "Bob")]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_size int, p_retailprice double", [(10, "red pan", "B1", 3, 9.5)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string, o_totalprice double, o_orderstatus string",
+                   [(1, 1, "2000-01-05", "2-HIGH", 12.0, "F")]),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate string, l_returnflag string, "
+                     "l_linestatus string, l_quantity double, l_discount double",
+                     [(1, 1, 10, 1, "2000-02-03", f, "O", 4.0, 0.05) for f in ("N", "N", "R", "R", "R")]),
+    }
+    for name, (schema, rows) in tables.items():
+        rows = [(*r, 1) for r in rows] if name in ("supplier", "customer") else rows
+        df = spark.createDataFrame(rows, schema)
+        df.withColumns({c: df[c].cast("date") for c in df.columns if c.endswith("date")}).write.parquet(f"{tmp_path}/{name}.parquet")
+    w = Warehouse(spark, str(tmp_path))
+    planned = sorted(tuple(r) for r in dq_unique(w).collect())
+    assert not w.built  # all tables were stored before
+    assert [(t, c, n) for t, c, _, n in planned] == [
+        ("products_raw", "Product_Name", 2), ("returns_analysis", "return_id", 3), ("stg_inventory_purchases", "purchase_id", 5),
+        ("stg_returns", "return_id", 3), ("stg_sales", "sale_id", 2),
+    ]
+    for table in ("inventory_position", "returns_analysis", "stg_expenses"):
+        w.any(table)
+    w.raw("products_raw")
+    assert sorted(tuple(r) for r in dq_unique(w).collect()) == planned
