@@ -9,7 +9,9 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 import tree_in_memory
@@ -283,6 +285,51 @@ def test_contexts_need_no_share_of_a_large_corpus(spark, tmp_path):
     assert out[-2].score - out[-2].base_score > out[-3].score - out[-3].base_score + 0.3
 
 
+def test_only_grams_that_may_count_are_shuffled(spark):
+    """A gram is passed on if its context and its last words may be frequent, and as one number if that says both."""
+    words = [suffix_tree.words_of(np.frombuffer(t, np.uint8), np.array([0, len(t)]), suffix_tree.Hasher())[0] for t in (b"a", b"b", b"c")]
+    a, b, c = (int(w[0]) for w in words)
+    frequent = np.sort(np.array([a, b], np.uint64))
+    ids = {w: int(np.searchsorted(frequent, np.uint64(w))) + 1 for w in (a, b)}
+
+    class Filter:
+        def __init__(self, *codes):
+            self.codes = np.array(codes, np.uint64)
+
+        def holds(self, codes):
+            return np.flatnonzero(np.isin(codes, self.codes))
+
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    filters = Shared((Filter(ids[a]), Filter(ids[b], c | 1 << 63)))
+    batch = pa.RecordBatch.from_pylist([{"text": "a b a a b"}, {"text": "a c b c"}, {"text": "a"}])
+    out = [r for x in suffix_tree._count_grams(Shared((frequent, None)), filters, 1)([batch]) for r in x.to_pylist()]
+    assert len(out) == 2
+    assert {"gram": ids[a] << 20 | ids[b], "context": None, "up": None, "n": 2} in out
+    assert [(r["context"], r["up"] & (1 << 64) - 1, r["n"]) for r in out if r["gram"] < 0] == [(ids[a], c | 1 << 63, 1)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 1000, 70_000])
+def test_places_of_hashes(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(np.append(rng.integers(0, 1 << 64, n, np.uint64), np.uint64([0, (1 << 64) - 1][: n])))
+    wanted = np.concatenate([keys[::3], rng.integers(0, 1 << 64, 500, np.uint64), np.array([0, 5, (1 << 64) - 1], np.uint64)])
+    assert (suffix_tree.Places(keys).find(wanted) == suffix_tree._find(keys, wanted)).all()
+
+
+def test_tables_that_are_read_no_more_are_deleted(spark, tmp_path):
+    from tillworks.llm.storage import scratch
+
+    folder, path = open_folder(scratch(spark, "x").rsplit("/", 1)[0])
+    names = lambda: {f.base_name for f in folder.get_file_info(fs.FileSelector(path, allow_not_found=True))}
+    before = names()
+    df = table(spark, tmp_path, [(i, "a b c d") for i in range(40)])
+    assert suffix_tree.scored(df).count() == 40
+    assert [n.split("-")[0] for n in names() - before] == ["weights"]
+
+
 def test_empty_tables(spark, tmp_path):
     empty = table(spark, tmp_path, [])
     assert suffix_tree.scored(empty).count() == 0

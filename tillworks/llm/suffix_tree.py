@@ -63,29 +63,32 @@ class Tally:
     """Counts of numbers, passed on when they become many."""
 
     def __init__(self) -> None:
-        self.keys, self.counts, self.size = [], [], 0
+        self.raw, self.keys, self.counts, self.size = [], np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
 
     def add(self, numbers: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, n = np.unique(numbers, return_counts=True)
-        self.keys.append(key)
-        self.counts.append(n)
-        self.size += len(key)
-        if self.size > HELD:
+        self.raw.append(numbers)
+        self.size += len(numbers)
+        if self.size > 2 * HELD:
             self._merge()
             if self.size > HELD // 2:
                 yield from self.rest()
 
     def _merge(self) -> None:
-        key, inverse = np.unique(np.concatenate(self.keys), return_inverse=True)
-        count = np.bincount(inverse, np.concatenate(self.counts), len(key)).astype(np.int64)
-        self.keys, self.counts, self.size = [key], [count], len(key)
+        if self.raw:
+            key, n = np.unique(np.concatenate(self.raw), return_counts=True)
+            if len(self.keys):
+                key, n = np.concatenate([self.keys, key]), np.concatenate([self.counts, n])
+                order = np.argsort(key, kind="stable")
+                key, n = key[order], n[order]
+                first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+                key, n = key[first], np.add.reduceat(n, first)
+            self.raw, self.keys, self.counts, self.size = [], key, n, len(key)
 
     def rest(self) -> Iterator[pa.RecordBatch]:
+        self._merge()
         if self.size:
-            self._merge()
-            columns = [pa.array(self.keys[0].view(np.int64)), pa.array(self.counts[0])]
-            yield pa.RecordBatch.from_arrays(columns, ["key", "n"])
-        self.keys, self.counts, self.size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(self.keys.view(np.int64)), pa.array(self.counts)], ["key", "n"])
+        self.keys, self.counts, self.size = self.keys[:0], self.counts[:0], 0
 
 
 def _count_words(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,12 +121,30 @@ def _words(texts: DataFrame, paths: list[str] | None = None) -> tuple[DataFrame,
     return counts, *(int(x or 0) for x in counts.agg(F.sum("n"), F.count("*")).first())
 
 
-def _search(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """As ``_find``, for many keys in a long array: in the order of the keys, which spares the cache."""
-    order = np.argsort(keys)
-    out = np.empty(len(keys), np.int64)
-    out[order] = _find(sorted_keys, keys[order])
-    return out
+class Places:
+    """Places of keys in a sorted array of hashes, found by their first bits."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        bits = max(len(hashes).bit_length() + 1, 8)
+        self.hashes, self.shift = hashes, np.uint64(64 - bits)
+        sizes = np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = np.append(0, np.cumsum(sizes)).astype(np.int32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """-1 if absent."""
+        bucket = (keys >> self.shift).astype(np.int64)
+        at, end = self.first[bucket], self.first[bucket + 1]
+        out = np.full(len(keys), -1, np.int64)
+        left = np.flatnonzero(at < end)
+        at, end, keys = at[left], end[left], keys[left]
+        while len(left):
+            here = self.hashes[at]
+            found = here == keys
+            out[left[found]] = at[found]
+            at = at + 1
+            more = np.flatnonzero((here < keys) & (at < end))
+            left, at, end, keys = left[more], at[more], end[more], keys[more]
+        return out
 
 
 def _coded(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -133,11 +154,12 @@ def _coded(words: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _gram(context: np.ndarray, up: np.ndarray, k: int) -> np.ndarray:
     """Number of k + 1 words from those of the first k and the last k: frequent words' numbers side by side, else a hash."""
-    hashed = mix(mix(context + golden(k)) + up) | HASHED
     if (k + 1) * ID_BITS >= 62:
-        return hashed
-    packed = (context << np.uint64(ID_BITS)) | (up & np.uint64((1 << ID_BITS) - 1))
-    return np.where((context | up) < HASHED, packed, hashed)
+        return mix(mix(context + golden(k)) + up) | HASHED
+    gram = (context << np.uint64(ID_BITS)) | (up & np.uint64((1 << ID_BITS) - 1))
+    rare = np.flatnonzero((context | up) >= HASHED)
+    gram[rare] = mix(mix(context[rare] + golden(k)) + up[rare]) | HASHED
+    return gram
 
 
 def _grams(codes: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -152,48 +174,61 @@ def _grams(codes: np.ndarray, offsets: np.ndarray, depth: int) -> Iterator[tuple
         up = gram
 
 
-class GramTally(Tally):
-    """Counts of grams with their context and last words."""
+class GramTally:
+    """Counts of grams, with their context and last words unless the gram's number says both."""
 
-    def __init__(self, k: int) -> None:
-        super().__init__()
-        self.k, self.parts = k, []
+    def __init__(self) -> None:
+        self.packed, self.parts, self.size = Tally(), [], 0
 
     def take(self, context: np.ndarray, up: np.ndarray, gram: np.ndarray) -> Iterator[pa.RecordBatch]:
-        key, first, n = np.unique(gram, return_index=True, return_counts=True)
-        self.parts.append((key, context[first], up[first], n))
-        self.size += len(key)
-        if self.size > HELD:
-            self._merge()
-            if self.size > HELD // 2:
-                yield from self.rest()
+        packed = gram < HASHED
+        for batch in self.packed.add(gram[packed]):
+            yield self._named(batch)
+        hashed = np.flatnonzero(~packed)
+        if len(hashed):
+            key, first, n = np.unique(gram[hashed], return_index=True, return_counts=True)
+            self.parts.append((key, context[hashed[first]], up[hashed[first]], n))
+            self.size += len(key)
+            if self.size > HELD:
+                self._merge()
+                if self.size > HELD // 2:
+                    yield from self._hashed()
 
     def _merge(self) -> None:
         gram, context, up, n = (np.concatenate(x) for x in zip(*self.parts))
-        key, first, inverse = np.unique(gram, return_index=True, return_inverse=True)
-        self.parts = [(key, context[first], up[first], np.bincount(inverse, n, len(key)).astype(np.int64))]
-        self.size = len(key)
-
-    def rest(self) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(gram, kind="stable")
+        gram, n = gram[order], n[order]
+        first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
+        self.parts = [(gram[first], context[order[first]], up[order[first]], np.add.reduceat(n, first))]
+        self.size = len(first)
+
+    @staticmethod
+    def _named(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nothing = pa.nulls(batch.num_rows, pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column("key"), nothing, nothing, batch.column("n")], ["gram", "context", "up", "n"])
+
+    def _hashed(self) -> Iterator[pa.RecordBatch]:
         if self.size:
             self._merge()
             gram, context, up, n = self.parts[0]
-            packed = gram < HASHED  # says both
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(gram.view(np.int64)), pa.array(context.view(np.int64), mask=packed), pa.array(up.view(np.int64), mask=packed), pa.array(n)],
-                ["gram", "context", "up", "n"],
-            )
+            columns = [*(pa.array(x.view(np.int64)) for x in (gram, context, up)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, ["gram", "context", "up", "n"])
         self.parts, self.size = [], 0
 
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        for batch in self.packed.rest():
+            yield self._named(batch)
+        yield from self._hashed()
+
 
 def _count_grams(shared, filters, k: int):
     """Counts of the grams (context, last k words) of all tokens whose k words before them may be a frequent context and whose last k
     words may be frequent enough for a symbol: a gram is never more frequent than its last words."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, (members, lasts), tally = shared.value[0], filters.value, GramTally(k)
+        places, (members, lasts), tally = Places(shared.value[0]), filters.value, GramTally()
         for _, _, words, offsets in _texts(batches):
-            for inside, context, up, gram in _grams(_coded(words, _search(frequent, words)), offsets, k):
+            for inside, context, up, gram in _grams(_coded(words, places.find(words)), offsets, k):
                 pass
             used = inside[members.holds(context[inside])]
             used = used[lasts.holds(up[used])]
@@ -205,9 +240,10 @@ def _count_grams(shared, filters, k: int):
 
 def _name_words(shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places(shared.value[0])
         for batch in batches:
             words = batch.column("key").to_numpy().view(np.uint64)
-            code = _coded(words, _search(shared.value[0], words))
+            code = _coded(words, places.find(words))
             yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64)), batch.column("n")], ["gram", "n"])
 
     return run
@@ -290,13 +326,13 @@ def weights(
 def _scorer(shared, depth: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (frequent, counts, unseen), (heads, head_weights), members = shared.value
-        hasher = Hasher()
+        hasher, frequent, heads = Hasher(), Places(frequent), Places(heads)
         for batch in batches:
             for first, data, offsets in slices(batch.column("text")):
                 words, at = words_of(data, offsets, hasher)
                 n = len(at) - 1
                 row = np.repeat(np.arange(n), np.diff(at))
-                ids = _search(frequent, words)
+                ids = frequent.find(words)
                 known = ids >= 0
                 root = np.log((np.where(known, counts[ids] if len(counts) else 0, 0) + 1) / unseen)
                 codes = _coded(words, ids)
@@ -305,7 +341,7 @@ def _scorer(shared, depth: int):
 
                 def weigh(tokens: np.ndarray, key: np.ndarray) -> np.ndarray:
                     """Adds the weights that are at hand; tokens whose key has one or may have one in the table."""
-                    place = _search(heads, key)
+                    place = heads.find(mix(key))
                     found = np.flatnonzero(place >= 0)
                     gain[tokens[found]] += head_weights[place[found]]
                     left = np.flatnonzero(place < 0)
@@ -374,22 +410,24 @@ def scored(docs: DataFrame, **options) -> DataFrame:
     table, frequent, tokens, distinct = weights(docs.where(remainder(F.col("doc_id")) != 2).select("text"), **options)
     least = _head(table.where("not word"), head)
     at_hand = table.where(~F.col("word") & (F.col("n") >= least)).select("key", "weight").toArrow()
-    key, weight = at_hand["key"].to_numpy().view(np.uint64), at_hand["weight"].to_numpy()
+    key, weight = mix(at_hand["key"].to_numpy().view(np.uint64)), at_hand["weight"].to_numpy()
     order = np.argsort(key)
     table = table.where(F.col("word") | (F.col("n") < least))
     members = BitFilter.gather(table.where("not word"), "key", FILTER_BITS)
     shared = spark.sparkContext.broadcast(((*frequent, tokens + distinct + 1), (key[order], weight[order]), members))
     source = docs.select(F.monotonically_increasing_id().alias("row_id"), "doc_id", held_out.alias("held_out"), "text")
-    parts = source.mapInArrow(_scorer(shared, depth), _SCORED).join(table.select("key", "weight", "word"), "key", "left")
-    added = F.col("times") * F.col("weight")
+    parts = source.mapInArrow(_scorer(shared, depth), _SCORED)
+    # The table's keys are distinct and hashed, so its partitions are even and small; the keys of the texts need no sort.
+    parts = parts.join(table.select("key", "weight", "word").hint("shuffle_hash"), "key", "left")
+    own, word, added = F.col("own").isNotNull(), F.col("word"), F.col("times") * F.col("weight")
     rows = parts.groupBy("row_id").agg(
-        *(F.max(f"own.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens", "n_frequent", "base", "gain")),
-        F.sum(F.when(F.col("word"), F.col("times"))).alias("known"), F.sum(F.when(F.col("word"), added)).alias("rare_base"),
-        F.sum(F.when(~F.col("word"), added)).alias("rare_gain"),
+        *(F.max(f"own.{c}").alias(c) for c in ("doc_id", "held_out", "n_tokens")),
+        F.sum(F.when(own, F.col("own.n_frequent")).when(word, F.col("times"))).alias("n_known"),
+        F.sum(F.when(own, F.col("own.base")).when(word, added)).alias("base"),
+        F.sum(F.when(own, F.col("own.gain")).when(~word, added)).alias("gain"),
     )
-    base = (F.col("base") + F.coalesce("rare_base", F.lit(0.0))) / float(np.log(10))
-    gain = (F.col("gain") + F.coalesce("rare_gain", F.lit(0.0))) / float(np.log(10))
+    base, gain = (F.col(c) / float(np.log(10)) for c in ("base", "gain"))
     return rows.select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_frequent") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (base + gain).alias("score"),
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
+        base.alias("base_score"), (base + gain).alias("score"),
     )
