@@ -46,3 +46,21 @@ def purchase(day="5/1/2025", **more):
     return {"Timestamp": "5/1/2025 9:00:00", "Date_of_Purchase": day, "Product_Purchased": "Locks - Moment",
             "Units_Purchased": "20", "Unit_Cost_KES": "200", "Supplier_Name": "S", "Payment_Method": "Bank",
             "Business_Unit": "Hope"} | more
+
+
+def given_tables(spark, folder, parts=(), lines=()):
+    """The given star-schema tables with one customer, supplier and nation, and an order for each line's order number."""
+    orders = [(o, 1, "2000-01-05", "2-HIGH", 12.0, "F") for o in sorted({line[0] for line in lines})]
+    tables = {
+        "nation": ("n_nationkey int, n_name string", [(1, "KENYA")]),
+        "supplier": ("s_suppkey long, s_name string, s_nationkey int", [(1, "Ann", 1)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int", [(1, "Bob", 1)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_size int, p_retailprice double", list(parts)),
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate string, o_orderpriority string, o_totalprice double, "
+                   "o_orderstatus string", orders),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_shipdate string, l_returnflag string, "
+                     "l_linestatus string, l_quantity double, l_discount double", list(lines)),
+    }
+    for name, (schema, rows) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        df.withColumns({c: df[c].cast("date") for c in df.columns if c.endswith("date")}).write.parquet(f"{folder}/{name}.parquet")

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from rows import expense, product, purchase, returned, sale, staged
 
-from tillworks.plans import marts
+from tillworks.plans import dashboards, marts
 
 AS_OF = dt.date(2025, 7, 20)
 MAY, JULY = dt.date(2025, 5, 1), dt.date(2025, 7, 1)
@@ -158,3 +158,29 @@ def test_columns(spark, tables, mart):
     df = builder(*frames, **({"as_of": AS_OF} if takes_as_of else {}))
     assert df.columns == marts.COLUMNS[mart]
     assert df.count() == (1 if mart == "unit_performance" else 0)
+
+
+def test_some_months_of_products_are_those_of_the_whole_mart(spark, tables):
+    t = tables(
+        products=[product(), product("Glue"), product("Rope", Is_Active="No")],
+        sales=[sale(), sale("5/9/2025", Unit_Price_KES="310"), sale("6/1/2025", Product="Glue"), sale("4/2/2025", Product="Rope")],
+        returns=[returned("6/3/2025"), returned("3/3/2025", Product_Returned="Nobody knows")],
+    )
+    inputs = t["products"], t["sales"], t["returns"]
+    whole = marts.product_performance(*inputs, as_of=AS_OF)
+    assert whole.count() == 2 * 5  # months 3 to 7
+    for months in (MAY, AS_OF, dt.date(2024, 1, 1), (dt.date(2025, 4, 30), dt.date(2025, 6, 2))):
+        def only(rows):
+            return dashboards.this_month(rows, months)
+
+        some = marts.product_performance(*inputs, as_of=AS_OF, only=only)
+        assert some.schema == whole.schema
+        assert sorted(some.collect(), key=str) == sorted(only(whole).collect(), key=str)
+
+
+def test_a_month_that_a_product_lacks_has_no_margin(tables):
+    t = tables(products=[product()], sales=[sale()])
+    rows = {r.month: r for r in marts.product_performance(t["products"], t["sales"], t["returns"], AS_OF).collect()}
+    assert (rows[MAY].total_gross_profit, rows[MAY].gross_margin_pct) == (200, Decimal("36.4"))
+    july = rows[JULY]
+    assert (july.total_gross_profit, july.gross_margin_pct, july.total_units_sold, july.first_sale_date) == (0, None, 0, None)

@@ -8,11 +8,13 @@ from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
+from rows import given_tables
 
-from testbed import warehouse
+from testbed import queries_relations, warehouse
 from tillworks import session
 from tillworks.operators import joins, windows
 from tillworks.plans import marts, quality, staging
+from tillworks.values import TABS
 
 SALES = 40_000
 BAD = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
@@ -37,6 +39,11 @@ def settings(spark, conf):
             spark.conf.unset(key)
 
 
+def filters(df):
+    """The conditions in the optimized plan."""
+    return re.findall(r"Filter (.*?)\+- ", df._jdf.queryExecution().optimizedPlan().toString(), re.S)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -262,3 +269,30 @@ def test_tasks_do_not_grow_with_the_tables(spark, tmp_path):
         spark.conf.set(name, before) if before else spark.conf.unset(name)
     assert int(session.RUNTIME_SETTINGS["spark.sql.files.maxPartitionBytes"].removesuffix("m")) < 128
     assert int(session.RUNTIME_SETTINGS["spark.sql.adaptive.advisoryPartitionSizeInBytes"].removesuffix("m")) < 64
+
+
+def test_parsed_columns_are_computed_once(spark):
+    raw = spark.createDataFrame([("5/4/2025", "x", "2")], "Date string, Product string, Units_Sold string")
+    other = [c for c in TABS["Sales"].columns if c not in raw.columns]
+    raw = raw.select("*", *(F.lit("1").alias(c) for c in other))
+
+    def parses(whole):  # a filter that moved below the projection parses for itself
+        return sum(condition.count("gettimestamp(") for condition in filters(staging.stg_sales(raw, whole)))
+
+    assert parses(True) == 0 < parses(False)
+    assert staging.stg_sales(raw).collect() == staging.stg_sales(raw, whole=False).collect()
+
+
+def test_a_single_report_stores_no_mart(spark, tmp_path):
+    """The first report that reads a mart stores nothing and aggregates only its months; the next one stores the mart."""
+    lines = [(o, n, p, 1, f"2000-0{m}-03", f, "O", 4.0, 0.05) for o, m in ((1, 5), (2, 6)) for n, p, f in ((1, 10, "N"), (2, 12, "N"), (3, 10, "R"))]
+    given_tables(spark, tmp_path, parts=[(10, "red pan", "B1", 3, 9.5), (12, "jar", "B2", 4, 5.0)], lines=lines)
+    w = warehouse.Warehouse(spark, str(tmp_path))
+    report, other = (queries_relations.QUERIES[n][0] for n in ("dash_revenue_by_category", "dash_bottom10_products"))
+    first = sorted(tuple(r) for r in report(w).collect())
+    assert len(first) == 2 and sum(r[1] for r in first) > 0
+    again = report(w)
+    assert sum("trunc(" in condition and "MM" in condition for condition in filters(again)) >= 2  # of sales and of returns
+    assert not w.built and sorted(tuple(r) for r in again.collect()) == first
+    assert len(other(w).collect()) == 2 and "product_performance" in w.built
+    assert sorted(tuple(r) for r in report(w).collect()) == first
