@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 from contextlib import contextmanager
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from testbed import queries_relations, warehouse
 from tillworks import session
 from tillworks.operators import joins, windows
 from tillworks.plans import marts, quality, staging
+from tillworks.sources import layers
 from tillworks.values import TABS
 
 SALES = 40_000
@@ -296,3 +298,50 @@ def test_a_single_report_stores_no_mart(spark, tmp_path):
     assert not w.built and sorted(tuple(r) for r in again.collect()) == first
     assert len(other(w).collect()) == 2 and "product_performance" in w.built
     assert sorted(tuple(r) for r in report(w).collect()) == first
+
+
+def test_checks_look_at_few_columns_of_marts(spark, tmp_path):
+    """Marts are not stored for checks, product months are aggregated without measures, and keys are counted as they are."""
+    lines = [(1, n, 10, 1, "2000-05-03", f, "O", 4.0, 0.05) for n, f in ((1, "N"), (2, "N"), (3, "R"))]
+    given_tables(spark, tmp_path, parts=[(10, "red pan", "B1", 3, 9.5)], lines=lines)
+    w = warehouse.Warehouse(spark, str(tmp_path))
+    found = {}
+    for name in ("dq_not_null", "dq_unique_combination", "dq_suite_summary"):
+        found[name] = sorted(map(str, queries_relations.QUERIES[name][0](w).collect()))
+    assert w.built == set(staging.BUILDERS)
+    checked = w.checked("product_performance")
+    assert checked.columns == ["month", "product_key"]
+    assert "sum(" not in checked._jdf.queryExecution().optimizedPlan().toString()
+    for mart in marts.BUILDERS:
+        w.mart(mart)
+    for name, rows in found.items():
+        assert sorted(map(str, queries_relations.QUERIES[name][0](w).collect())) == rows
+
+
+def test_keys_with_nulls_and_repeats_are_counted_by_their_columns(spark):
+    rows = [("a", 1), ("a", 1), ("a", 2), (None, 1), (None, 1), (None, None), ("-", None)]
+    df = spark.createDataFrame(rows, "unit string, month int")
+    checks = quality.TableChecks(not_null=("unit",), unique_combination=(("month", "unit"),))
+    assert quality._about_one_key(checks) and not quality._about_one_key(quality.DECLARED["returns_analysis"])
+    by_columns, by_text = (f(df) for f in (lambda d: quality._key_checks(d, "t", checks), lambda d: quality._table_checks(d, "t", checks, [])))
+    assert by_columns.schema == by_text.schema and by_columns.collect() == by_text.collect()
+    assert [r.failures for r in by_columns.collect()] == [3, 2]
+    assert plan(df.repartition(3, "unit").transform(lambda d: quality._key_checks(d, "t", checks))).count("hashpartitioning(") == 1
+
+
+def test_a_written_table_keeps_no_shuffle_files(spark, tmp_path):
+    setting = layers.DROP_SHUFFLES
+    stored = layers.Layers(spark, str(tmp_path), "shuffles_")
+    def shuffle_files():
+        return len(list(local.glob("blockmgr-*/*/shuffle_*.data")))
+
+    local = Path(spark._jsc.sc().env().blockManager().diskBlockManager().localDirs()[0].getParent())
+    seen = []
+    with layers.dropping_shuffles(spark), layers.dropping_shuffles(spark):
+        seen.append(spark.conf.get(setting))
+    seen.append(spark.conf.get(setting))
+    assert seen == ["true", "false"]
+    before = shuffle_files()
+    stored.replace(spark.range(10).groupBy(F.col("id") % 3).count().toDF("a", "b"), "retail_marts", "sums")
+    assert shuffle_files() <= before
+    assert spark.conf.get(setting) == "false" and stored.mart("sums").count() == 3
